@@ -241,3 +241,64 @@ def induced_subgraph(spark, sf_dir):
 def degree_sample_checks(spark, sf_dir):
     e = tables.bipartite_edges(spark, sf_dir)
     return core.has_self_loops(e).select("has_loops", e.agg(F.count(F.lit(1))).scalar().alias("directed_edges"))
+
+
+URGENT_B_SQL = """
+    SELECT DISTINCT 'c:' || CAST(o.o_custkey AS VARCHAR) AS src, 'p:' || CAST(l.l_partkey AS VARCHAR) AS dst
+    FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+    WHERE l.l_quantity = 50 AND o.o_orderpriority = '1-URGENT'
+"""
+SIMPLE_URGENT_SQL = f"""
+    SELECT DISTINCT src, dst FROM (
+        SELECT src, dst FROM ({URGENT_B_SQL}) u UNION ALL SELECT dst, src FROM ({URGENT_B_SQL}) u2) s
+"""
+
+
+def urgent_bulk_edges(spark, sf_dir):
+    """Purchase graph of urgent orders for the full quantity of 50 (sparse: many components)."""
+    pl = tables.purchase_lines(spark, sf_dir).where((F.col("qty") == 50) & (F.col("o_orderpriority") == "1-URGENT"))
+    return pl.select(
+        F.concat(F.lit("c:"), F.col("user").cast("string")).alias("src"),
+        F.concat(F.lit("p:"), F.col("item").cast("string")).alias("dst"),
+    ).distinct()
+
+
+@register("urgent_bulk_components", cc_oracle(SIMPLE_URGENT_SQL))
+def urgent_bulk_components(spark, sf_dir):
+    from tessera.operators.graph.components import connected_components as cc
+
+    return cc(urgent_bulk_edges(spark, sf_dir))
+
+
+def cut_vertex_oracle(simple_sql: str) -> str:
+    """Brute force: components of G - v for every v (keyed recursive CTE over (removed, vertex))."""
+    return f"""
+    WITH RECURSIVE e AS ({simple_sql}),
+    v AS (SELECT DISTINCT src AS id FROM e),
+    cc(rm, id, comp) USING KEY (rm, id) AS (
+        SELECT r.id, v.id, v.id FROM v r JOIN v ON v.id <> r.id
+        UNION
+        SELECT c.rm, e.dst, MIN(c.comp) FROM cc c JOIN e ON e.src = c.id AND e.dst <> c.rm
+        JOIN recurring.cc x ON x.rm = c.rm AND x.id = e.dst
+        GROUP BY c.rm, e.dst HAVING MIN(c.comp) < MIN(x.comp)
+    ),
+    base AS (SELECT COUNT(DISTINCT comp) AS n FROM ({cc_oracle(simple_sql)}) b(id, comp)),
+    per AS (SELECT rm, COUNT(DISTINCT comp) AS n FROM cc GROUP BY rm)
+    SELECT rm AS id, 1 AS articulation FROM per WHERE n > (SELECT n FROM base)
+    """
+
+
+@register("urgent_bulk_cut_vertices", cut_vertex_oracle(SIMPLE_URGENT_SQL))
+def urgent_bulk_cut_vertices(spark, sf_dir):
+    from tessera.operators.graph.biconn import articulation_points
+
+    return articulation_points(urgent_bulk_edges(spark, sf_dir))
+
+
+@register("articulation_points")
+def articulation_points(spark, sf_dir):
+    """Cut vertices of the whole purchase graph (no SQL oracle: brute force is |V| connectivity
+    problems; checked against a brute-force twin in tests)."""
+    from tessera.operators.graph.biconn import articulation_points as ap
+
+    return ap(tables.bipartite_edges(spark, sf_dir))
