@@ -46,11 +46,25 @@ def nan_to_zero(a: Column) -> Column:
 
 
 def pearson(a: Column, b: Column) -> Column:
-    """Pearson correlation of two equal-length vectors (population moments); null if a variance is 0."""
-    n = F.size(a).cast("double")
-    ma = F.aggregate(a, F.lit(0.0), lambda acc, x: acc + x) / n
-    mb = F.aggregate(b, F.lit(0.0), lambda acc, x: acc + x) / n
-    cov = F.aggregate(F.zip_with(a, b, lambda x, y: (x - ma) * (y - mb)), F.lit(0.0), lambda acc, x: acc + x)
-    va = F.aggregate(a, F.lit(0.0), lambda acc, x: acc + (x - ma) * (x - ma))
-    vb = F.aggregate(b, F.lit(0.0), lambda acc, x: acc + (x - mb) * (x - mb))
-    return F.when((va > 0) & (vb > 0), cov / F.sqrt(va * vb))
+    """Pearson correlation of two equal-length vectors (population moments); null if a variance is 0.
+
+    One pass over the pairs accumulates n, Σa, Σb, Σab, Σa², Σb² (no per-element
+    re-evaluation of the means inside the lambda).
+    """
+    zero = F.struct(*[F.lit(0.0).alias(k) for k in ("n", "sa", "sb", "sab", "saa", "sbb")])
+
+    def step(acc, p):
+        x, y = p["x"], p["y"]
+        return F.struct(
+            (acc["n"] + 1).alias("n"), (acc["sa"] + x).alias("sa"), (acc["sb"] + y).alias("sb"),
+            (acc["sab"] + x * y).alias("sab"), (acc["saa"] + x * x).alias("saa"), (acc["sbb"] + y * y).alias("sbb"),
+        )
+
+    def finish(s):
+        cov = s["n"] * s["sab"] - s["sa"] * s["sb"]
+        va = s["n"] * s["saa"] - s["sa"] * s["sa"]
+        vb = s["n"] * s["sbb"] - s["sb"] * s["sb"]
+        return F.when((va > 0) & (vb > 0), cov / F.sqrt(va * vb))
+
+    pairs = F.arrays_zip(a.alias("x"), b.alias("y"))
+    return F.aggregate(pairs, zero, step, finish)
