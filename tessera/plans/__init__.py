@@ -1,6 +1,6 @@
 """Named queries over the driver tables (see ``registry``)."""
 
-from tessera.plans import graphs, recsys, text, typed, vectors, wrangling  # noqa: F401
+from tessera.plans import graphs, models, recsys, text, typed, vectors, wrangling  # noqa: F401
 from tessera.plans.registry import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]
