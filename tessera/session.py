@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,6 +63,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` into the shared checkpoint folder (reliable, not local)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise ``df`` as a parquet table in the shared checkpoint folder and read it back.
+
+    Compared with ``DataFrame.checkpoint`` the re-read table carries real size
+    statistics (file sizes) instead of the estimate of the plan it came from;
+    in iterative operators those estimates compound round after round and both
+    mislead join planning and make planning itself slow.
+    """
+    spark = df.sparkSession
+    path = os.path.join(ensure_checkpoint_dir(spark), "tables", uuid.uuid4().hex)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
