@@ -302,3 +302,22 @@ def articulation_points(spark, sf_dir):
     from tessera.operators.graph.biconn import articulation_points as ap
 
     return ap(tables.bipartite_edges(spark, sf_dir))
+
+
+@register("gnp_customers")
+def gnp_customers(spark, sf_dir):
+    """G(n, p = 0.01) over the customers (ids 0..n−1 by customer key): random, rows only."""
+    from tessera.operators.graph.generate import gnp
+
+    cust = tables.table(spark, sf_dir, "customer").select((F.col("c_custkey") - 1).alias("id"))
+    return gnp(cust, 0.01, seed=7)
+
+
+@register("gnm_customers")
+def gnm_customers(spark, sf_dir):
+    """G(n, m) with n = customers and m = orders / 10: random, rows only."""
+    from tessera.operators.graph.generate import gnm
+
+    n = tables.table(spark, sf_dir, "customer").count()
+    m = tables.table(spark, sf_dir, "orders").count() // 10
+    return gnm(spark, n, m, seed=7)
