@@ -53,6 +53,9 @@ def bfs_forest(e: DataFrame, roots: DataFrame) -> DataFrame:
     return cut_lineage(reduce(lambda a, b: a.unionByName(b), layers))
 
 
+CUT_EVERY = 3  # levels between lineage cuts in the level-by-level passes
+
+
 def _bottom_up(tree: DataFrame, max_level: int, init: DataFrame, combine) -> DataFrame:
     """Fold child values into parents level by level, deepest first.
 
@@ -67,10 +70,10 @@ def _bottom_up(tree: DataFrame, max_level: int, init: DataFrame, combine) -> Dat
             own = combine(own, below)
         else:
             own = combine(own, None)
-        cur = cut_lineage(own)
+        cur = cut_lineage(own) if level % CUT_EVERY == 0 else own
         done.append(cur)
         below = cur
-    return reduce(lambda a, b: a.unionByName(b), done)
+    return cut_lineage(reduce(lambda a, b: a.unionByName(b), done))
 
 
 def articulation_points(edges: DataFrame) -> DataFrame:
@@ -103,7 +106,7 @@ def articulation_points(edges: DataFrame) -> DataFrame:
         cur = step.where(F.col("level") == level).join(up, "parent").select(
             "id", (F.col("ppre") + F.col("step")).cast("bigint").alias("pre")
         )
-        pre_layers.append(cut_lineage(cur))
+        pre_layers.append(cut_lineage(cur) if level % CUT_EVERY == 0 else cur)
     pre = cut_lineage(reduce(lambda a, b: a.unionByName(b), pre_layers))
     info = cut_lineage(tree.join(pre, "id").join(nd, "id"))  # id, level, parent, pre, nd
 

@@ -21,7 +21,8 @@ def connected_components(edges: DataFrame, vertices: DataFrame | None = None, ma
     ``edges`` may be directed; connectivity is taken as undirected. Isolated
     vertices in ``vertices(id)`` form their own components.
     """
-    e = simple(edges)
+    # materialise the undirected edge table once: every round scans it
+    e = cut_lineage(simple(edges))
     v = vertices_from_edges(e)
     if vertices is not None:
         v = v.union(vertices.select("id")).distinct()
@@ -32,19 +33,18 @@ def connected_components(edges: DataFrame, vertices: DataFrame | None = None, ma
             F.col("src").alias("id")
         ).agg(F.min("nl").alias("nl"))
         hooked = labels.join(nb, "id", "left").select(
-            "id", F.least("component", F.coalesce("nl", "component")).alias("component")
+            "id", F.col("component").alias("old"), F.least("component", F.coalesce("nl", "component")).alias("component")
         )
         # pointer jump: adopt the label of my label
         jump = hooked.select(F.col("id").alias("component"), F.col("component").alias("jl"))
         nxt = hooked.join(jump, "component", "left").select(
-            "id", F.least("component", F.coalesce("jl", "component")).alias("component")
+            "id",
+            F.least("component", F.coalesce("jl", "component")).alias("component"),
+            (F.least("component", F.coalesce("jl", "component")) != F.col("old")).alias("changed"),
         )
         nxt = cut_lineage(nxt)
-        changed = nxt.join(labels.withColumnRenamed("component", "old"), "id").where(
-            F.col("component") != F.col("old")
-        ).limit(1).count()
-        labels = nxt
-        if changed == 0:
+        labels = nxt.select("id", "component")
+        if nxt.where("changed").isEmpty():
             break
     return labels
 

@@ -306,10 +306,11 @@ def articulation_points(spark, sf_dir):
 
 @register("gnp_customers")
 def gnp_customers(spark, sf_dir):
-    """G(n, p = 0.01) over the customers (ids 0..n−1 by customer key): random, rows only."""
+    """G(n, p = 0.01) over the customers (ids = key − smallest key): random, rows only."""
     from tessera.operators.graph.generate import gnp
 
-    cust = tables.table(spark, sf_dir, "customer").select((F.col("c_custkey") - 1).alias("id"))
+    c = tables.table(spark, sf_dir, "customer")
+    cust = c.select((F.col("c_custkey") - c.agg(F.min("c_custkey")).scalar()).alias("id"))
     return gnp(cust, 0.01, seed=7)
 
 

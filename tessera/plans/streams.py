@@ -85,3 +85,14 @@ def stream_event_windows(spark, sf_dir):
     return ev.latest_windows(spark, out).select(
         "window_start", "window_end", "event_type", "n", F.round("total_value", 4).alias("total_value")
     )
+
+
+@register(
+    "stream_running_totals",
+    f"SELECT CAST(0 AS BIGINT) AS batch_id, label, COUNT(*) AS running FROM ({TAGGED_SQL}) t GROUP BY label",
+)
+def stream_running_totals(spark, sf_dir):
+    """Cumulative count per label after each batch, from the per-batch history."""
+    _, history = _run(spark, sf_dir)
+    h = spark.read.parquet(history).select(F.col("batch_id").cast("bigint"), "label", "count")
+    return st.running_totals(h)

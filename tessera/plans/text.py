@@ -301,3 +301,19 @@ def tagged_rows(spark, sf_dir):
     )
     ranked = rank_within(r, "tag", ["doc_id"], "n")
     return ranked.select("doc_id", F.concat("tag", F.lit("_"), F.col("n").cast("string")).alias("row_key"))
+
+
+@register("doc_vector_eval")
+def doc_vector_eval(spark, sf_dir):
+    """Document vectors as the mean of skip-gram word vectors (Word2VecModel.transform), then
+    logistic regression on them (model-valued: rows only)."""
+    from pyspark.ml.feature import Word2Vec
+
+    train, test = _split(spark, sf_dir)
+    w2v = Word2Vec(vectorSize=50, windowSize=5, minCount=1, maxIter=1, seed=42, inputCol="tokens", outputCol="features")
+    model = w2v.fit(train)
+    tr, te = model.transform(train), model.transform(test)
+    n = tr.count()
+    lr = classify.spark_logistic_regression(n).fit(tr.withColumn("label", F.col("label").cast("double")))
+    pred = lr.transform(te).select(F.col("label").alias("truth"), F.col("prediction").cast("int").alias("pred"))
+    return classify.binary_eval(pred, "truth", "pred")

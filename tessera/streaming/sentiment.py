@@ -48,11 +48,15 @@ def stream_folder(spark: SparkSession, name: str) -> str:
 
 
 def run_sentiment_stream(
-    spark: SparkSession, messages: DataFrame, lists: DataFrame, text_col: str = "value", trigger: dict | None = None
+    spark: SparkSession, messages: DataFrame, lists: DataFrame, text_col: str = "value", trigger: dict | None = None,
+    run_seconds: float | None = None, console: bool = False,
 ) -> tuple[str, str]:
-    """Run the stream to completion (``availableNow`` by default; pass e.g.
-    ``{"processingTime": "10 seconds"}`` for a live source) and return the
-    paths of the running totals and of the per-batch history."""
+    """Run the stream and return the paths of the running totals and of the per-batch history.
+
+    By default the available input is processed and the queries finish
+    (``availableNow``). For a live source pass e.g. ``trigger={"processingTime": "10 seconds"}``
+    and ``run_seconds=100``: the queries run for that long and are then stopped
+    gracefully. ``console`` also prints every batch's totals."""
     base = stream_folder(spark, "sentiment")
     totals_path, history_path = os.path.join(base, "totals"), os.path.join(base, "history")
     broadcast_ok = fits_broadcast(lists)
@@ -75,8 +79,17 @@ def run_sentiment_stream(
         tagged.writeStream.outputMode("append").foreachBatch(write_history)
         .option("checkpointLocation", os.path.join(base, "ck_history")).trigger(**trig).start()
     )
-    q1.awaitTermination()
-    q2.awaitTermination()
+    queries = [q1, q2]
+    if console:
+        queries.append(
+            label_counts(tagged).writeStream.outputMode("complete").format("console").trigger(**trig)
+            .option("checkpointLocation", os.path.join(base, "ck_console")).start()
+        )
+    for q in queries:
+        if run_seconds is None:
+            q.awaitTermination()
+        elif not q.awaitTermination(run_seconds):
+            q.stop()
     return totals_path, history_path
 
 

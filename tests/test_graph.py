@@ -117,3 +117,11 @@ def test_gnp_and_gnm(spark):
     m = gnm(spark, 100, 300, seed=2).collect()
     assert len(m) == 300 and len({(r.src, r.dst) for r in m}) == 300
     assert all(r.src != r.dst for r in m)
+
+
+def test_closeness_from_distance_maps(spark):
+    e = edges_df(spark, INLINE_EDGES)
+    lm = core.vertices_from_edges(core.simple(e))
+    got = {r.id: r.closeness for r in paths.closeness_from_maps(paths.distance_maps(paths.landmark_distances(e, lm))).collect()}
+    for k, v in INLINE_CLOSENESS.items():
+        assert got[k] == pytest.approx(v)
