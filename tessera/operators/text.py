@@ -63,20 +63,32 @@ def keep_probability(counts: DataFrame, sample: float = 1e-3) -> DataFrame:
     return counts.select("word", "count", F.least(F.lit(1.0), (F.sqrt(c / t) + 1) * t / c).alias("keep_prob"))
 
 
-def context_counts(docs: DataFrame, window: int = 2) -> DataFrame:
-    """``(word, contexts)``: number of context tokens within ±window of each occurrence.
+def context_pairs(docs: DataFrame, window: int = 2) -> DataFrame:
+    """``(doc_id, pos, word, context)``: every token with each token within ±window of it.
 
     Each token is re-emitted once per offset and joined back on (doc, position):
-    linear in corpus size, no self-join on ranges.
+    linear in corpus size, no range join, and no row ever carries its whole document.
     """
     pos = docs.select("doc_id", F.posexplode("tokens").alias("pos", "word"))
     offsets = [o for o in range(-window, window + 1) if o != 0]
-    shifted = pos.select(
-        "doc_id", F.explode(F.array(*[F.lit(o) for o in offsets])).alias("off"), F.col("pos").alias("cpos")
-    ).select("doc_id", (F.col("cpos") + F.col("off")).alias("pos"), "cpos")
-    centre = pos.select("doc_id", F.col("pos").alias("cpos"), F.col("word"))
-    hits = shifted.join(pos.select("doc_id", "pos"), ["doc_id", "pos"], "left_semi").join(centre, ["doc_id", "cpos"])
-    return hits.groupBy("word").agg(F.count(F.lit(1)).alias("contexts"))
+    shifted = pos.select("doc_id", "pos", "word", F.explode(F.array(*[F.lit(o) for o in offsets])).alias("off"))
+    ctx = pos.select("doc_id", F.col("pos").alias("cpos"), F.col("word").alias("context"))
+    return shifted.join(ctx, (shifted.doc_id == ctx.doc_id) & (ctx.cpos == shifted.pos + shifted.off)).select(
+        shifted.doc_id, "pos", "word", "context"
+    )
+
+
+def context_counts(docs: DataFrame, window: int = 2) -> DataFrame:
+    """``(word, contexts)``: number of context tokens within ±window over all occurrences.
+
+    A token at position p of an n-token text has min(p, w) + min(n − 1 − p, w)
+    context tokens, so the count needs no pairing at all: one explode and a
+    map-side-combined aggregate.
+    """
+    n = F.size("tokens")
+    tok = docs.select(n.alias("n"), F.posexplode("tokens").alias("pos", "word"))
+    c = F.least(F.col("pos"), F.lit(window)) + F.least(F.col("n") - 1 - F.col("pos"), F.lit(window))
+    return tok.groupBy("word").agg(F.sum(c).cast("bigint").alias("contexts"))
 
 
 def rechunk(docs: DataFrame, size: int = 1000) -> DataFrame:

@@ -77,3 +77,13 @@ def test_labelled_texts_and_manifest(spark):
     assert m[0].mask_path is not None and m[1].mask_path is None
     assert files.first_match(files.list_files(spark, d + "/img", "*.png"), "im1").first()[0].endswith("im1.png")
     assert files.first_match(files.list_files(spark, d + "/img", "*.png"), "zzz").first()[0] == "No match found"
+
+
+def test_context_pairs_agree_with_counts(spark):
+    from tessera.operators import text as ops
+
+    docs = spark.createDataFrame([(1, ["a", "b", "c", "a"]), (2, ["b"]), (3, ["c", "a"])], "doc_id long, tokens array<string>")
+    pairs = ops.context_pairs(docs, 2).groupBy("word").count()
+    want = {r.word: r["count"] for r in pairs.collect()}
+    got = {r.word: r.contexts for r in ops.context_counts(docs, 2).collect()}
+    assert {k: v for k, v in got.items() if v} == want
