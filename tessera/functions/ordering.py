@@ -73,3 +73,27 @@ def hash_uniform(*parts: Column | str | int, modulus: int = 2147483647) -> Colum
     for i, c in enumerate(cols[1:]):
         acc = acc + F.pmod(c.cast("bigint"), F.lit(modulus)) * F.lit(12345 + 2 * i)
     return F.pmod(acc, F.lit(modulus))
+
+
+def prefix_sum_within(df: DataFrame, key: str, order_cols: list, value: str, name: str = "prefix") -> DataFrame:
+    """Exclusive running sum of ``value`` inside each ``key`` group, by ``order_cols``.
+
+    Same result as ``sum(value) over (partition by key order by ... rows between
+    unbounded preceding and 1 preceding)`` (0 for the first row), but a hot key is
+    not processed by one task: rows are range-sorted, each (key, partition) block
+    gets its own running sum, and blocks are offset by the sums of the earlier
+    blocks of the same key (at most one block per partition and key).
+    """
+    cols = list(df.columns)
+    placed = cut_lineage(df.orderBy(key, *order_cols).withColumn("_pid", F.spark_partition_id()))
+    inner = Window.partitionBy(key, "_pid").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
+    local = placed.withColumn("_local", F.coalesce(F.sum(value).over(inner), F.lit(0)))
+    blocks = placed.groupBy(key, "_pid").agg(F.sum(value).alias("_bsum"))
+    outer = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = blocks.select(
+        F.col(key).alias("_okey"), F.col("_pid").alias("_opid"),
+        F.coalesce(F.sum("_bsum").over(outer), F.lit(0)).alias("_boff"),
+    )
+    # null-safe on the key: rows without a key (e.g. tree roots) form their own group
+    cond = F.col(key).eqNullSafe(F.col("_okey")) & (F.col("_pid") == F.col("_opid"))
+    return local.join(offsets, cond).select(*cols, (F.col("_local") + F.col("_boff")).alias(name))

@@ -21,9 +21,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.ordering import prefix_sum_within
 from tessera.operators.graph.components import connected_components
 from tessera.operators.graph.core import simple
 from tessera.session import cut_lineage
@@ -53,7 +54,7 @@ def bfs_forest(e: DataFrame, roots: DataFrame) -> DataFrame:
     return cut_lineage(reduce(lambda a, b: a.unionByName(b), layers))
 
 
-CUT_EVERY = 3  # levels between lineage cuts in the level-by-level passes
+CUT_EVERY = 1  # levels between lineage cuts in the level-by-level passes
 
 
 def _bottom_up(tree: DataFrame, max_level: int, init: DataFrame, combine) -> DataFrame:
@@ -93,11 +94,12 @@ def articulation_points(edges: DataFrame) -> DataFrame:
 
     nd = _bottom_up(tree, max_level, tree.select("id"), nd_combine).select("id", "nd")
 
-    # preorder numbers, top-down; siblings ordered by id
-    sib = Window.partitionBy("parent").orderBy("id").rowsBetween(Window.unboundedPreceding, -1)
+    # preorder numbers, top-down; siblings ordered by id. The sibling offsets are a running
+    # sum per parent, computed block-wise so a parent with a huge fan-out spans many tasks.
+    sized = tree.join(nd, "id").select("id", "parent", "level", "nd")
     step = cut_lineage(
-        tree.join(nd, "id").select(
-            "id", "parent", "level", (1 + F.coalesce(F.sum("nd").over(sib), F.lit(0))).alias("step")
+        prefix_sum_within(sized, "parent", ["id"], "nd", "before").select(
+            "id", "parent", "level", (F.col("before") + 1).alias("step")
         )
     )
     pre_layers = [cut_lineage(step.where(F.col("level") == 0).select("id", F.lit(0).cast("bigint").alias("pre")))]

@@ -167,3 +167,28 @@ def image_manifest(spark: SparkSession, labels_path: str, image_dir: str, mask_d
     return lab.join(imgs, "image").join(masks, "mask", "left").select(
         "image", "mask", F.col("flag").cast("int").alias("flag"), "image_path", "mask_path"
     )
+
+
+def csv_vectors(spark: SparkSession, path: str, id_col: str | None = None) -> DataFrame:
+    """Header CSV of numeric columns → ``(x array<double>, y double)``: all columns but the last
+    form the vector, the last one is the target (optionally keeping an id column)."""
+    raw = spark.read.csv(path, header=True)
+    cols = [c for c in raw.columns if c != id_col]
+    x = F.array(*[F.col(f"`{c}`").cast("double") for c in cols[:-1]]).alias("x")
+    y = F.col(f"`{cols[-1]}`").cast("double").alias("y")
+    return raw.select(*([id_col] if id_col else []), x, y)
+
+
+def read_ratings(spark: SparkSession, path: str) -> DataFrame:
+    """Tab-separated ratings with a header; the first three columns (user, item, rating) are kept."""
+    raw = spark.read.csv(path, sep="\t", header=True)
+    u, i, r = raw.columns[:3]
+    return raw.select(F.col(u).cast("bigint").alias("user"), F.col(i).cast("bigint").alias("item"), F.col(r).cast("double").alias("rating"))
+
+
+def read_dimension(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
+    """Whitespace-separated dimension file → ``(key, value)`` from the first two tokens of each
+    line (header line skipped; undecodable bytes are replaced, not fatal)."""
+    lines = spark.read.option("encoding", encoding).option("header", True).csv(path, sep="\x01", schema="value string")
+    p = lines.select(F.split(F.trim("value"), WS).alias("p")).where(F.size("p") >= 2)
+    return p.select(F.col("p")[0].alias("key"), F.col("p")[1].alias("value"))

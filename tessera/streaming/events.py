@@ -37,17 +37,23 @@ def run_windowed_stream(spark: SparkSession, events: DataFrame, width: str = "1
     """
     base = stream_folder(spark, "event-windows")
     out = os.path.join(base, "updates")
+    # event times are UTC wall-clock values: pin the session zone while the stream runs
+    previous = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
 
     def write_batch(batch: DataFrame, batch_id: int):
         batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(
             os.path.join(out, f"batch={batch_id}")
         )
 
-    q = (
-        windowed_counts(events, width, watermark).writeStream.outputMode("update").foreachBatch(write_batch)
-        .option("checkpointLocation", os.path.join(base, "ck")).trigger(availableNow=True).start()
-    )
-    q.awaitTermination()
+    try:
+        q = (
+            windowed_counts(events, width, watermark).writeStream.outputMode("update").foreachBatch(write_batch)
+            .option("checkpointLocation", os.path.join(base, "ck")).trigger(availableNow=True).start()
+        )
+        q.awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", previous)
     return out
 
 

@@ -87,3 +87,32 @@ def test_context_pairs_agree_with_counts(spark):
     want = {r.word: r["count"] for r in pairs.collect()}
     got = {r.word: r.contexts for r in ops.context_counts(docs, 2).collect()}
     assert {k: v for k, v in got.items() if v} == want
+
+
+def test_vector_rating_and_dimension_readers(spark):
+    d = tempfile.mkdtemp(dir="/tmp")
+    with open(d + "/w.csv", "w") as f:
+        f.write("a,b,Yi\n1,2,3\n4,5,6\n")
+    with open(d + "/r.dat", "w") as f:
+        f.write("userID\tmovieID\trating\tday\n7\t9\t3.5\t1\n")
+    with open(d + "/m.dat", "wb") as f:
+        f.write(b"id name rest\n12  Alpha Beta\n13 Gam\xffma x\n")
+    v = files.csv_vectors(spark, d + "/w.csv").collect()
+    assert [(r.x, r.y) for r in v] == [([1.0, 2.0], 3.0), ([4.0, 5.0], 6.0)]
+    r = files.read_ratings(spark, d + "/r.dat").first()
+    assert (r.user, r.item, r.rating) == (7, 9, 3.5)
+    m = {row.key: row.value for row in files.read_dimension(spark, d + "/m.dat").collect()}
+    assert m["12"] == "Alpha" and "13" in m
+
+
+def test_prefix_sum_within_matches_window(spark):
+    from pyspark.sql import Window
+
+    from tessera.functions.ordering import prefix_sum_within
+
+    rows = [(k % 3 if k % 5 else None, k, float(k % 7)) for k in range(300)]
+    df = spark.createDataFrame(rows, "g long, i long, v double").repartition(7)
+    got = {(r.g, r.i): r.p for r in prefix_sum_within(df, "g", ["i"], "v", "p").collect()}
+    w = Window.partitionBy("g").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
+    want = {(r.g, r.i): r.p for r in df.select("g", "i", F.coalesce(F.sum("v").over(w), F.lit(0.0)).alias("p")).collect()}
+    assert got == want
