@@ -17,11 +17,12 @@ def vertices_from_edges(edges: DataFrame) -> DataFrame:
 def simple(edges: DataFrame) -> DataFrame:
     """Undirected closure without multi-edges or loops: both directions, distinct, src != dst.
 
-    The loop filter is pushed below the union/distinct by Catalyst.
+    Both directions come from one pass over the input (explode of the pair and its
+    flip), so an edge table defined by a join is computed once, not once per direction.
     """
-    e = edges.select("src", "dst")
-    flipped = e.selectExpr("dst as src", "src as dst")
-    return e.union(flipped).where(F.col("src") != F.col("dst")).distinct()
+    both = F.explode(F.array(F.struct(F.col("src"), F.col("dst")), F.struct(F.col("dst").alias("src"), F.col("src").alias("dst"))))
+    e = edges.where(F.col("src") != F.col("dst")).select(both.alias("e"))
+    return e.select("e.src", "e.dst").distinct()
 
 
 def degrees(edges: DataFrame, direction: str = "in") -> DataFrame:

@@ -26,14 +26,21 @@ def class_sizes(docs: DataFrame, label: str = "label") -> DataFrame:
 
 def feature_words(docs: DataFrame, stop_words: list[str], label: str = "label", min_share: float = 0.01, ratio: float = 2.0) -> DataFrame:
     """Words that are not stop words, occur in ≥ min_share of one class's documents
-    and in ≥ ratio× as many documents of one class as of the other."""
-    df = doc_frequency_by_class(docs, label)
-    sizes = class_sizes(docs, label)
-    n_pos = sizes.select("n_pos").scalar()
-    n_neg = sizes.select("n_neg").scalar()
+    and in ≥ ratio× as many documents of one class as of the other.
+
+    Class sizes ride along in the same aggregation as an extra empty-string token
+    (tokens are never empty), so the corpus is tokenised and shuffled once; the
+    sizes are read back from that aggregate (its exchange is reused).
+    """
+    marked = docs.select(label, F.explode(F.array_union(F.array_distinct("tokens"), F.array(F.lit("")))).alias("word"))
+    df = marked.groupBy("word").agg(
+        F.count_if(F.col(label) == 1).alias("pos_df"), F.count_if(F.col(label) == 0).alias("neg_df")
+    )
+    sizes = df.where(F.col("word") == "").select(F.struct(F.col("pos_df").alias("n_pos"), F.col("neg_df").alias("n_neg"))).scalar()
+    n_pos, n_neg = sizes["n_pos"], sizes["n_neg"]
     skewed = (F.col("pos_df") >= ratio * F.col("neg_df")) | (F.col("neg_df") >= ratio * F.col("pos_df"))
     keep = ((F.col("pos_df") >= n_pos * min_share) | (F.col("neg_df") >= n_neg * min_share)) & skewed
-    return df.where(~F.col("word").isin(stop_words)).where(keep)
+    return df.where(F.col("word") != "").where(~F.col("word").isin(stop_words)).where(keep)
 
 
 def binary_features(docs: DataFrame, vocab: DataFrame) -> DataFrame:

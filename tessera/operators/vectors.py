@@ -100,3 +100,48 @@ __all__ = [
     "add", "centroids", "doesnt_match", "lookup", "mean_vector", "most_similar", "most_similar_cosmul",
     "n_similarity", "similarity", "unit_vectors", "weighted_unit_mean",
 ]
+
+
+def analogy_predictions(vectors: DataFrame, questions: DataFrame, restrict_vocab: int = 30000, key: str = "key", vec: str = "vector") -> DataFrame:
+    """Answer ``a : b :: c : ?`` questions: the vocabulary key maximising
+    unit(x) · (unit(b) − unit(a) + unit(c)), a, b and c excluded, ties → smallest key.
+
+    The candidate vocabulary is the first ``restrict_vocab`` keys (most frequent first,
+    i.e. key order here); it is shipped to the tasks as one broadcast matrix whose size
+    is bounded by ``restrict_vocab`` × dimension, and questions are scored partition by
+    partition with one matrix–vector product each. Questions using a word outside the
+    restricted vocabulary are skipped. ``questions(qid, section, a, b, c, expected)``.
+    """
+    import numpy as np
+    import pandas as pd
+
+    spark = vectors.sparkSession
+    vocab = vectors.orderBy(key).limit(restrict_vocab).select(key, unit(F.col(vec)).alias("u")).toPandas()
+    keys = vocab[key].to_numpy()
+    mat = np.vstack(vocab["u"].to_numpy()) if len(vocab) else np.zeros((0, 0))
+    bc = spark.sparkContext.broadcast((keys, mat))
+
+    def score(batches):
+        ks, m = bc.value
+        index = {k: i for i, k in enumerate(ks.tolist())}
+        for pdf in batches:
+            out = []
+            for row in pdf.itertuples(index=False):
+                ia, ib, ic = index.get(row.a), index.get(row.b), index.get(row.c)
+                if ia is None or ib is None or ic is None:
+                    continue
+                s = m @ (m[ib] - m[ia] + m[ic])
+                s[[ia, ib, ic]] = -np.inf
+                out.append((row.qid, row.section, int(ks[int(np.argmax(s))]), row.expected))
+            yield pd.DataFrame(out, columns=["qid", "section", "predicted", "expected"])
+
+    schema = f"qid long, section string, predicted {vectors.schema[key].dataType.simpleString()}, expected {questions.schema['expected'].dataType.simpleString()}"
+    return questions.select("qid", "section", "a", "b", "c", "expected").mapInPandas(score, schema)
+
+
+def analogy_accuracy(predictions: DataFrame) -> DataFrame:
+    """``(section, correct, total, accuracy)`` per section plus a ``total`` row."""
+    hit = (F.col("predicted") == F.col("expected")).cast("int")
+    per = predictions.groupBy("section").agg(F.sum(hit).alias("correct"), F.count(F.lit(1)).alias("total"))
+    all_ = predictions.agg(F.lit("total").alias("section"), F.sum(hit).alias("correct"), F.count(F.lit(1)).alias("total"))
+    return per.unionByName(all_).withColumn("accuracy", F.col("correct") / F.col("total"))

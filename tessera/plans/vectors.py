@@ -246,3 +246,53 @@ def kernel_ols(spark, sf_dir):
     names = [f"pred_{h}" for h in HORIZONS] + ["intercept"]
     rows = spark.createDataFrame(list(zip(names, coefs)), "term string, coefficient double")
     return rows.select("term", F.round("coefficient", 6).alias("coefficient"), F.round(mse, 6).alias("test_mse"))
+
+
+# ---- analogy questions derived from the label groups -------------------------------------
+
+ANALOGY_SQL = """
+    WITH r AS (SELECT vec_id, label, ROW_NUMBER() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS rk FROM embeddings),
+    q AS (SELECT a.vec_id * 1 AS qid, 'label_' || CAST(a.label AS VARCHAR) AS section, a.vec_id AS a, b.vec_id AS b,
+                 c.vec_id AS c, d.vec_id AS expected
+          FROM r a JOIN r b ON b.label = a.label AND b.rk = a.rk + 1
+          JOIN r c ON c.label = (a.label + 1) % 10 AND c.rk = a.rk
+          JOIN r d ON d.label = c.label AND d.rk = c.rk + 1),
+    v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+    u AS (SELECT vec_id, list_transform(x, lambda t: t / sqrt(list_sum(list_transform(x, lambda y: y * y)))) AS u FROM v),
+    qv AS (SELECT q.*, list_transform(range(1, len(ub.u) + 1), lambda i: ub.u[i] - ua.u[i] + uc.u[i]) AS qv
+           FROM q JOIN u ua ON ua.vec_id = q.a JOIN u ub ON ub.vec_id = q.b JOIN u uc ON uc.vec_id = q.c),
+    s AS (SELECT qv.qid, qv.section, qv.expected, u.vec_id, list_dot_product(u.u, qv.qv) AS sc
+          FROM qv, u WHERE u.vec_id NOT IN (qv.a, qv.b, qv.c)),
+    p AS (SELECT qid, section, expected, arg_min(vec_id, (-sc, vec_id)) AS predicted FROM s GROUP BY qid, section, expected)
+"""
+
+
+def analogy_questions(spark, sf_dir):
+    """a, b consecutive vectors of one label; c, expected the same ranks in the next label."""
+    from tessera.functions.ordering import rank_within
+
+    e = tables.table(spark, sf_dir, "embeddings").select("vec_id", "label")
+    r = rank_within(e, "label", ["vec_id"], "rk")
+    a = r.select(F.col("vec_id").alias("a"), F.col("label").alias("la"), F.col("rk").alias("ra"))
+    b = r.select(F.col("vec_id").alias("b"), F.col("label").alias("la"), (F.col("rk") - 1).alias("ra"))
+    c = r.select(F.col("vec_id").alias("c"), ((F.col("label") + 9) % 10).alias("la"), F.col("rk").alias("ra"), F.col("label").alias("lc"))
+    d = r.select(F.col("vec_id").alias("expected"), F.col("label").alias("lc"), (F.col("rk") - 1).alias("ra"))
+    q = a.join(b, ["la", "ra"]).join(c, ["la", "ra"]).join(d, ["lc", "ra"])
+    return q.select(F.col("a").alias("qid"), F.concat(F.lit("label_"), F.col("la").cast("string")).alias("section"), "a", "b", "c", "expected")
+
+
+@register(
+    "analogy_accuracy",
+    ANALOGY_SQL + """
+    SELECT section, CAST(SUM(CASE WHEN predicted = expected THEN 1 ELSE 0 END) AS BIGINT) AS correct, COUNT(*) AS total,
+           ROUND(AVG(CASE WHEN predicted = expected THEN 1.0 ELSE 0.0 END), 6) AS accuracy FROM p GROUP BY section
+    UNION ALL
+    SELECT 'total', CAST(SUM(CASE WHEN predicted = expected THEN 1 ELSE 0 END) AS BIGINT), COUNT(*),
+           ROUND(AVG(CASE WHEN predicted = expected THEN 1.0 ELSE 0.0 END), 6) FROM p
+    """,
+)
+def analogy_accuracy(spark, sf_dir):
+    """Analogy accuracy by section and in total, vocabulary restricted to the first 30,000 keys."""
+    pred = V.analogy_predictions(word_vectors(spark, sf_dir), analogy_questions(spark, sf_dir), restrict_vocab=30000)
+    acc = V.analogy_accuracy(pred)
+    return acc.select("section", F.col("correct").cast("bigint").alias("correct"), "total", F.round("accuracy", 6).alias("accuracy"))
