@@ -317,3 +317,25 @@ def doc_vector_eval(spark, sf_dir):
     lr = classify.spark_logistic_regression(n).fit(tr.withColumn("label", F.col("label").cast("double")))
     pred = lr.transform(te).select(F.col("label").alias("truth"), F.col("prediction").cast("int").alias("pred"))
     return classify.binary_eval(pred, "truth", "pred")
+
+
+@register("paragraph_vectors")
+def paragraph_vectors(spark, sf_dir):
+    """Paragraph vectors (distributed bag of words: 100-d, 5 negatives, 5 passes, min count 1)
+    for every labelled document, then logistic regression on the training part and
+    evaluation on the test part (model-valued: rows only)."""
+    from pyspark.ml.functions import array_to_vector
+
+    from tessera.operators.docvec import train_doc_vectors
+
+    r = reviews(spark, sf_dir)
+    vecs = train_doc_vectors(r.select("doc_id", "tokens"), dim=100, negative=5, epochs=5, min_count=1)
+    data = r.select("doc_id", "label", "part").join(vecs, "doc_id").select(
+        "part", F.col("label").cast("double").alias("label"), array_to_vector("vector").alias("features")
+    )
+    train = data.where(F.col("part") == "train")
+    model = classify.spark_logistic_regression(train.count()).fit(train)
+    pred = model.transform(data.where(F.col("part") == "test")).select(
+        F.col("label").cast("int").alias("truth"), F.col("prediction").cast("int").alias("pred")
+    )
+    return classify.binary_eval(pred, "truth", "pred")
