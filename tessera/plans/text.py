@@ -159,8 +159,14 @@ def nb_eval(spark, sf_dir):
     return e.select("tp", "fn", "fp", "tn", F.round("accuracy", 6).alias("accuracy"))
 
 
+MAX_VOCAB = 1_000_000  # the fixed vocabulary of the vectoriser lives on the driver
+
+
 def _vectors(spark, sf_dir):
-    words = sorted(r.word for r in _features(spark, sf_dir).select("word").collect())
+    rows = _features(spark, sf_dir).select("word").limit(MAX_VOCAB + 1).collect()
+    if len(rows) > MAX_VOCAB:
+        raise ValueError("feature vocabulary too large for a fixed-vocabulary vectoriser")
+    words = sorted(r.word for r in rows)
     train, test = _split(spark, sf_dir)
     return classify.to_vectors(train, words), classify.to_vectors(test, words), len(words)
 
