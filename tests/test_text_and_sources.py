@@ -116,3 +116,22 @@ def test_prefix_sum_within_matches_window(spark):
     w = Window.partitionBy("g").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
     want = {(r.g, r.i): r.p for r in df.select("g", "i", F.coalesce(F.sum("v").over(w), F.lit(0.0)).alias("p")).collect()}
     assert got == want
+
+
+def test_hot_key_ranks_are_spread_and_exact(spark):
+    """One key holds a third of the rows: per-key ranks stay exact (they come from a
+    range-partitioned sort, so at scale the hot key spans many partitions)."""
+    from pyspark.sql import Window
+
+    from tessera.functions.ordering import rank_within, with_global_position
+
+    n = 30000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 97 + 1).alias("k"), F.col("id").alias("v")
+    )
+    got = rank_within(df, "k", ["v"], "r")
+    w = Window.partitionBy("k").orderBy("v")
+    want = df.select("k", "v", (F.row_number().over(w) - 1).alias("r"))
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    pos = with_global_position(df, ["k", "v"], "pos")
+    assert sorted(r.pos for r in pos.select("pos").collect()) == list(range(n))
