@@ -187,7 +187,9 @@ def gd_train_frame(spark, sf_dir):
     return clean.with_intercept(scaled)
 
 
-GD_SQL = f"""
+def _gd_sql(reg: str) -> str:
+    pen = (lambda w: f"2 * {GD_ALPHA} * {w}") if reg == "l2" else (lambda w: f"{GD_ALPHA} * {w} * {w}")
+    return f"""
     WITH RECURSIVE t0 AS (SELECT l_quantity, l_discount, l_tax, l_extendedprice / 10000 AS y FROM lineitem WHERE {SPLIT_SQL} < 7),
     mm AS (SELECT MIN(l_quantity) q0, MAX(l_quantity) q1, MIN(l_discount) d0, MAX(l_discount) d1, MIN(l_tax) t0, MAX(l_tax) t1 FROM t0),
     d AS (SELECT (l_quantity - q0) / (q1 - q0) AS x1, (l_discount - d0) / (d1 - d0) AS x2, (l_tax - t0) / (t1 - t0) AS x3, y FROM t0, mm),
@@ -195,12 +197,15 @@ GD_SQL = f"""
         SELECT 0, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, NULL::DOUBLE, NULL::DOUBLE
         UNION ALL
         SELECT epoch + 1,
-               w0 - {GD_LR} * (2 * AVG(w0 + w1 * x1 + w2 * x2 + w3 * x3 - y) + 2 * {GD_ALPHA} * w0),
-               w1 - {GD_LR} * (2 * AVG((w0 + w1 * x1 + w2 * x2 + w3 * x3 - y) * x1) + 2 * {GD_ALPHA} * w1),
-               w2 - {GD_LR} * (2 * AVG((w0 + w1 * x1 + w2 * x2 + w3 * x3 - y) * x2) + 2 * {GD_ALPHA} * w2),
-               w3 - {GD_LR} * (2 * AVG((w0 + w1 * x1 + w2 * x2 + w3 * x3 - y) * x3) + 2 * {GD_ALPHA} * w3),
-               AVG(POW(w0 + w1 * x1 + w2 * x2 + w3 * x3 - y, 2)), cost
-        FROM s, d WHERE epoch < {GD_EPOCHS} AND NOT (epoch >= 4 AND ABS(cost - prev) <= {GD_TOL})
+               w0 - {GD_LR} * (2 * AVG(w0 + w1 * x1 + w2 * x2 + w3 * x3 - y) + {pen('w0')}),
+               w1 - {GD_LR} * (2 * AVG((w0 + w1 * x1 + w2 * x2 + w3 * x3 - y) * x1) + {pen('w1')}),
+               w2 - {GD_LR} * (2 * AVG((w0 + w1 * x1 + w2 * x2 + w3 * x3 - y) * x2) + {pen('w2')}),
+               w3 - {GD_LR} * (2 * AVG((w0 + w1 * x1 + w2 * x2 + w3 * x3 - y) * x3) + {pen('w3')}),
+               AVG(POW(w0 + w1 * x1 + w2 * x2 + w3 * x3 - y, 2)),
+               cost + {GD_ALPHA} * (w0 * w0 + w1 * w1 + w2 * w2 + w3 * w3)
+        -- state: cost = error term of the epoch, prev = full cost of the epoch before
+        FROM s, d WHERE epoch < {GD_EPOCHS}
+          AND NOT (epoch >= 4 AND ABS(cost + {GD_ALPHA} * (w0 * w0 + w1 * w1 + w2 * w2 + w3 * w3) - prev) <= {GD_TOL})
         GROUP BY epoch, w0, w1, w2, w3, cost
     )
     SELECT epoch, ROUND(cost + {GD_ALPHA} * (w0 * w0 + w1 * w1 + w2 * w2 + w3 * w3), 6) AS cost,
@@ -209,6 +214,20 @@ GD_SQL = f"""
 """
 
 
+GD_SQL = _gd_sql("l2")
+
+
+@register("gd_linear_as_written", _gd_sql("as_written"))
+def gd_linear_as_written(spark, sf_dir):
+    """Same descent with the penalty term as written in the reference update (α·w², element-wise)."""
+    hist = regress.gradient_descent(
+        gd_train_frame(spark, sf_dir), GD_FEATURES, "y", alpha=GD_ALPHA, epochs=GD_EPOCHS, lr=GD_LR, tol=GD_TOL,
+        reg="as_written",
+    )
+    df = spark.createDataFrame(hist, "epoch int, cost double, w0 double, w1 double, w2 double, w3 double")
+    return df.select("epoch", *[F.round(c, 6).alias(c) for c in ("cost", "w0", "w1", "w2", "w3")])
+
+
 @register("gd_linear_l2", GD_SQL)
 def gd_linear_l2(spark, sf_dir):
     """Cost curve and weights per epoch of L2 linear regression by full-batch gradient descent."""
