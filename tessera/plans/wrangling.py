@@ -234,7 +234,7 @@ SPLIT_LI_SQL = f"(((l_orderkey % {M}) * 1103515245 + (l_linenumber % {M}) * 1234
            ROUND((l_quantity - q0) / (q1 - q0), 6) AS l_quantity,
            ROUND((l_extendedprice - p0) / (p1 - p0), 6) AS l_extendedprice,
            ROUND((l_discount - d0) / (d1 - d0), 6) AS l_discount,
-           1.0 AS intercept
+           CAST(1.0 AS DOUBLE) AS intercept
     FROM lineitem, s WHERE {SPLIT_LI_SQL} >= 7
     """,
 )
