@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.vectors import add, cosine, dot, scale, unit
+from tessera.functions.vectors import cosine, dot, scale, unit
 
 
 def mean_vector(vectors: DataFrame, vec: str = "vector") -> DataFrame:
@@ -97,7 +97,7 @@ def centroids(rows: DataFrame, group: str, vec: str = "x") -> DataFrame:
 
 
 __all__ = [
-    "add", "centroids", "doesnt_match", "lookup", "mean_vector", "most_similar", "most_similar_cosmul",
+    "analogy_accuracy", "analogy_predictions", "centroids", "doesnt_match", "lookup", "mean_vector", "most_similar", "most_similar_cosmul",
     "n_similarity", "similarity", "unit_vectors", "weighted_unit_mean",
 ]
 
