@@ -125,3 +125,12 @@ def test_closeness_from_distance_maps(spark):
     got = {r.id: r.closeness for r in paths.closeness_from_maps(paths.distance_maps(paths.landmark_distances(e, lm))).collect()}
     for k, v in INLINE_CLOSENESS.items():
         assert got[k] == pytest.approx(v)
+
+
+def test_sample_landmarks_any_id_type(spark):
+    ints = spark.range(2000).select(F.col("id"))
+    strs = ints.select(F.concat(F.lit("v"), F.col("id").cast("string")).alias("id"))
+    a = paths.sample_landmarks(ints, 100, seed=1).count()
+    b = paths.sample_landmarks(strs, 100, seed=1).count()
+    assert 100 < a < 320 and 100 < b < 320
+    assert paths.sample_landmarks(ints, 100, seed=1).count() == a  # reproducible
