@@ -74,13 +74,15 @@ def _bottom_up(tree: DataFrame, max_level: int, init: DataFrame, combine) -> Dat
         cur = cut_lineage(own) if level % CUT_EVERY == 0 else own
         done.append(cur)
         below = cur
-    return cut_lineage(reduce(lambda a, b: a.unionByName(b), done))
+    merged = reduce(lambda a, b: a.unionByName(b), done)
+    # every level is already a written table when CUT_EVERY is 1: the union is cheap to re-read
+    return merged if CUT_EVERY == 1 else cut_lineage(merged)
 
 
 def articulation_points(edges: DataFrame) -> DataFrame:
     """``(id, articulation)`` for every cut vertex (articulation = 1); undirected view of ``edges``."""
     e = cut_lineage(simple(edges))
-    comp = connected_components(e)
+    comp = connected_components(e, materialized_simple=True)
     roots = comp.where(F.col("id") == F.col("component")).select("id")
     tree = bfs_forest(e, roots)
     max_level = tree.agg(F.max("level")).first()[0] or 0
@@ -109,7 +111,8 @@ def articulation_points(edges: DataFrame) -> DataFrame:
             "id", (F.col("ppre") + F.col("step")).cast("bigint").alias("pre")
         )
         pre_layers.append(cut_lineage(cur) if level % CUT_EVERY == 0 else cur)
-    pre = cut_lineage(reduce(lambda a, b: a.unionByName(b), pre_layers))
+    pre = reduce(lambda a, b: a.unionByName(b), pre_layers)
+    pre = pre if CUT_EVERY == 1 else cut_lineage(pre)
     info = cut_lineage(tree.join(pre, "id").join(nd, "id"))  # id, level, parent, pre, nd
 
     # non-tree edges: all directed edges except parent<->child pairs

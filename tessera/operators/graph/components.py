@@ -15,14 +15,17 @@ from tessera.operators.graph.core import simple, vertices_from_edges
 from tessera.session import cut_lineage
 
 
-def connected_components(edges: DataFrame, vertices: DataFrame | None = None, max_rounds: int = 200) -> DataFrame:
+def connected_components(
+    edges: DataFrame, vertices: DataFrame | None = None, max_rounds: int = 200, materialized_simple: bool = False
+) -> DataFrame:
     """``(id, component)`` where component = smallest vertex id of the component.
 
     ``edges`` may be directed; connectivity is taken as undirected. Isolated
     vertices in ``vertices(id)`` form their own components.
     """
     # materialise the undirected edge table once: every round scans it
-    e = cut_lineage(simple(edges))
+    # (``materialized_simple``: the caller already passes a written undirected table)
+    e = edges.select("src", "dst") if materialized_simple else cut_lineage(simple(edges))
     v = vertices_from_edges(e)
     if vertices is not None:
         v = v.union(vertices.select("id")).distinct()
