@@ -96,3 +96,19 @@ def stream_running_totals(spark, sf_dir):
     _, history = _run(spark, sf_dir)
     h = spark.read.parquet(history).select(F.col("batch_id").cast("bigint"), "label", "count")
     return st.running_totals(h)
+
+
+CONV_TAGGED_SQL = f"""
+    SELECT l.label FROM (SELECT unnest(string_split(text, ' ')) AS word FROM conversations WHERE role = 'user') t
+    JOIN ({LISTS_SQL}) l ON l.word = t.word
+"""
+
+
+@register("stream_conversation_sentiment", f"SELECT label, COUNT(*) AS count FROM ({CONV_TAGGED_SQL}) t GROUP BY label")
+def stream_conversation_sentiment(spark, sf_dir):
+    """Running positive/negative counts over the user turns of the conversations stream,
+    with the word lists learned from the labelled documents."""
+    lists = sentiment_lists(spark, sf_dir).cache()
+    msgs = stream_of(spark, sf_dir, "conversations").where(F.col("role") == "user").select(F.col("text").alias("value"))
+    totals, _ = st.run_sentiment_stream(spark, msgs, lists)
+    return spark.read.parquet(totals).select("label", "count")
