@@ -322,3 +322,32 @@ def gnm_customers(spark, sf_dir):
     n = tables.table(spark, sf_dir, "customer").count()
     m = tables.table(spark, sf_dir, "orders").count() // 10
     return gnm(spark, n, m, seed=7)
+
+
+@register(
+    "power_law_fit_counts",
+    f"""
+    WITH h AS (SELECT CAST(cnt AS DOUBLE) AS x, CAST(COUNT(*) AS DOUBLE) AS w FROM ({DEG_HIST_SQL}) q GROUP BY cnt),
+    s AS (SELECT x, w,
+                 SUM(w) OVER (ORDER BY x DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS n,
+                 SUM(w * LN(x)) OVER (ORDER BY x DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sl,
+                 SUM(w) OVER (ORDER BY x ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum
+          FROM h),
+    c AS (SELECT x AS xmin, n AS n_tail, cum - w AS below, 1 + n / (sl - n * LN(x)) AS alpha
+          FROM s WHERE x < (SELECT MAX(x) FROM h)),
+    k AS (SELECT xmin, alpha, n_tail,
+                 MAX(ABS((s.cum - below) / n_tail - (1 - POW(s.x / xmin, 1 - alpha)))) AS ks
+          FROM c JOIN s ON s.x >= c.xmin GROUP BY xmin, alpha, n_tail)
+    SELECT ROUND(xmin, 6) AS xmin, ROUND(alpha, 6) AS alpha, ROUND(ks, 6) AS ks, CAST(n_tail AS BIGINT) AS n_tail
+    FROM k ORDER BY ks, xmin LIMIT 1
+    """,
+)
+def power_law_fit_counts(spark, sf_dir):
+    """The fit as the reference script feeds it: the sample is the histogram's count column
+    (one value per distinct degree), not the degrees themselves."""
+    from tessera.operators.graph.powerlaw import fit_power_law
+
+    hist = core.degree_distribution(purchase_graph(spark, sf_dir))
+    counts = hist.groupBy("count").agg(F.count(F.lit(1)).alias("w"))
+    f = fit_power_law(counts, "count", "w")
+    return f.select(*[F.round(c, 6).alias(c) for c in ("xmin", "alpha", "ks")], "n_tail")
