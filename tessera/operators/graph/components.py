@@ -29,7 +29,11 @@ def connected_components(
     v = vertices_from_edges(e)
     if vertices is not None:
         v = v.union(vertices.select("id")).distinct()
-    labels = cut_lineage(v.select("id", F.col("id").alias("component")))
+    # start one hop ahead: every vertex begins with the smallest id among itself and its neighbours
+    first = e.groupBy(F.col("src").alias("id")).agg(F.min("dst").alias("nl"))
+    labels = cut_lineage(
+        v.join(first, "id", "left").select("id", F.least("id", F.coalesce("nl", "id")).alias("component"))
+    )
     for _ in range(max_rounds):
         # smallest label seen among neighbours (partial aggregation absorbs hot vertices)
         nb = e.join(labels.select(F.col("id").alias("dst"), F.col("component").alias("nl")), "dst").groupBy(
