@@ -13,7 +13,8 @@ FAST = [
     "degree_distribution", "graph_size", "column_summary", "box_stats", "equal_width_bins", "coerce_and_impute",
     "user_totals_top3", "popularity_eval", "feature_words", "nb_eval", "word_counts_min", "most_similar",
     "kernel_regression", "modularity", "merged_categories", "dice_by_image", "mini_batches", "typed_graph_degrees",
-    "power_law_fit", "random_walks", "closeness_users", "tagged_rows",
+    "power_law_fit", "random_walks", "closeness_users", "tagged_rows", "power_law_fit_counts", "analogy_accuracy",
+    "edge_attribute_cosine", "urgent_bulk_cut_vertices",
 ]
 
 
