@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tessera.llm import mixing, neardup, packing, quality, toxicity
+from tessera.llm import kdtree, maxent, mixing, neardup, packing, quality, rollup, sequences, spotsigs, toxicity
 from tessera.llm.common import fold, table
 
 QUERIES: dict = {}
@@ -24,18 +24,86 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+TOP_SQL = """
+WITH usable AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), rows AS (SELECT vec_id, min(v) AS v FROM usable GROUP BY vec_id),
+pairs AS (
+  SELECT q.vec_id AS query_id, r.vec_id, list_inner_product(q.v::DOUBLE[], r.v::DOUBLE[])::BIGINT AS score
+  FROM rows q JOIN rows r ON q.vec_id <> r.vec_id AND len(q.v) = len(r.v) WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs) WHERE rank <= 5
+"""
+
+
+@query("op1_exact_top_k", TOP_SQL)
+def op1(spark, sf_dir):
+    """The five rows of highest inner product for every fiftieth vector."""
+    return kdtree.top_k(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 50 == 0)
+
+
+@query("op2_spotsigs_fingerprints")
+def op2(spark, sf_dir):
+    """Fingerprints of all documents and of their edited texts."""
+    return spotsigs.fingerprints(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 @query("op3_minhash_neardup")
 def op3(spark, sf_dir):
     """Near-duplicate classes of all documents."""
     return neardup.classes(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+@query("op4_maxent_lm")
+def op4(spark, sf_dir):
+    """Scores of all documents under a model learned from folds 0, 1 and 3 to 6 of 7."""
+    held = fold(F.col("doc_id"), 7) == 2
+    out = maxent.score(table(spark, sf_dir, "documents", "doc_id", "text"), ~held)
+    return out.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+ROLLUP_SQL = r"""
+WITH ranked AS (SELECT *, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS copy FROM documents WHERE doc_id IS NOT NULL)
+SELECT source, lang, 'words-2' AS tokenizer, count(*) AS docs,
+  sum(len(regexp_extract_all(text, '[0-9A-Za-z\x{80}-\x{10FFFF}]+|[!-/:-@\[-`{-~]')))::BIGINT AS tokens
+FROM ranked WHERE copy = 1 OR text IS NULL GROUP BY source, lang
+"""
+
+
+@query("op5_token_rollups", ROLLUP_SQL)
+def op5(spark, sf_dir):
+    """Totals after three batches: all documents, deletion of all but the first of each set of
+    equal texts, recount of what is left by a new tokenizer version."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "source", "lang")
+    rolled = rollup.Rollup(spark)
+    rolled.commit("1-insert", rollup.count_tokens(docs, "words-1"))
+    hashed = docs.where("doc_id is not null and text is not null").select("doc_id", F.sha2("text", 256).alias("h"))
+    first = hashed.groupBy("h").agg(F.min("doc_id").alias("first"))
+    copies = hashed.join(first, "h").where("doc_id <> first").select("doc_id")
+    rolled.commit("2-delete", deletes=copies)
+    left = docs.join(copies, "doc_id", "left_anti")
+    rolled.commit("3-revise", rollup.count_tokens(left, "words-2"))
+    return rolled.totals()
+
+
 @query("op6_best_fit_packing")
 def op6(spark, sf_dir):
     """All documents' token pieces, packed into sequences of at most 4096."""
     return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"), TOKENIZER)
 
 
+@query("op7_packed_matrices")
+def op7(spark, sf_dir):
+    """All documents as packed sequences of 2048 ids: a row a sequence, with digests of its matrices."""
+    packed = sequences.pack(table(spark, sf_dir, "documents", "doc_id", "text"), TOKENIZER)
+    return packed.select(
+        "shard", "sequence", "n_tokens", F.crc32("ids").alias("ids_crc32"), F.crc32("position_ids").alias("positions_crc32"),
+        "cu_seqlens", "doc_ids", "pieces", "starts")
+
+
 @query("op8_quality_classifier")
 def op8(spark, sf_dir):
     """Quality of every document, learned from the labels of folds 1 to 4 of 5."""
