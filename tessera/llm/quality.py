@@ -120,6 +120,8 @@ def train(sample: DataFrame, seed: int = 11) -> tuple[np.ndarray, float]:
         yield pa.RecordBatch.from_pydict({"effect": [effect.tobytes()], "constant": [constant]})
 
     row = sample.coalesce(1).mapInArrow(run, "effect binary, constant double").first()
+    if row is None:  # no labelled row, so no task
+        return fit([], np.zeros(0, int), seed)
     return np.frombuffer(row["effect"], np.float32), row["constant"]
 
 

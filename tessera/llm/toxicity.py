@@ -29,7 +29,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from itertools import combinations
+from itertools import combinations, zip_longest
 
 import numpy as np
 import pyarrow as pa
@@ -262,7 +262,7 @@ def _instances(sample: DataFrame, instances: int) -> tuple[DataFrame, list[str],
     common = counts.where("clean > toxic").orderBy(F.desc("clean"), "word").limit(instances // 2)
     chance = counts.where("toxic = 0").orderBy(F.md5("word"), "word").limit(instances // 2)
     read = lambda df: [r["word"] for r in df.select("word").collect()]
-    plain = list(dict.fromkeys(x for pair in zip(read(common), read(chance), strict=False) for x in pair))
+    plain = list(dict.fromkeys(x for pair in zip_longest(read(common), read(chance)) for x in pair if x is not None))
     return counts, read(positive), plain
 
 
