@@ -75,6 +75,17 @@ def hash_uniform(*parts: Column | str | int, modulus: int = 2147483647) -> Colum
     return F.pmod(acc, F.lit(modulus))
 
 
+def hash_mixed(*parts: Column | str | int) -> Column:
+    """Reproducible integer in [0, 2**32): the first 8 hex digits of md5 of the parts joined by '|'.
+
+    Unlike ``hash_uniform`` it is not linear, so neighbouring parts (the steps of one walk)
+    give unrelated numbers. Both engines have the functions it is made of.
+    """
+    cols = [F.lit(p) if isinstance(p, int) else (F.col(p) if isinstance(p, str) else p) for p in parts]
+    digest = F.md5(F.concat_ws("|", *[c.cast("string") for c in cols]).cast("binary"))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
+
+
 def prefix_sum_within(df: DataFrame, key: str, order_cols: list, value: str, name: str = "prefix") -> DataFrame:
     """Exclusive running sum of ``value`` inside each ``key`` group, by ``order_cols``.
 

@@ -52,8 +52,8 @@ def connected_components(
         nxt = cut_lineage(nxt)
         labels = nxt.select("id", "component")
         if nxt.where("changed").isEmpty():
-            break
-    return labels
+            return labels
+    raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
 def component_sizes(labels: DataFrame) -> DataFrame:

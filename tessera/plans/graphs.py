@@ -192,7 +192,7 @@ def power_law_fit(spark, sf_dir):
         SELECT id * 2 + r.range, 0, id FROM v, range(2) r
         UNION ALL
         SELECT w.walk_id, w.step + 1, a.dst FROM w JOIN adj a ON a.src = w.cur
-          AND a.rk = (((w.walk_id % 2147483647) * 1103515245 + ((w.step + 1) % 2147483647) * 12345 + 0 * 12347) % 2147483647) % a.deg
+          AND a.rk = CAST('0x' || substr(md5(concat_ws('|', w.walk_id, w.step + 1, 0)), 1, 8) AS BIGINT) % a.deg
         WHERE w.step + 1 < 10
     )
     SELECT walk_id, step, cur AS node FROM w

@@ -12,12 +12,12 @@ from tessera.streaming import sentiment as st
 
 
 def stream_of(spark, sf_dir, name):
-    """The driver table ``name`` read as a file stream (one file per micro-batch)."""
+    """The table ``name`` read as a file stream (one file per micro-batch).
+
+    The table is one file or a folder of part files: the glob matches either.
+    """
     schema = tables.table(spark, sf_dir, name).schema
-    return (
-        spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
-        .option("maxFilesPerTrigger", 1).parquet(sf_dir)
-    )
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{sf_dir}/{name}.parquet*")
 
 
 def sentiment_lists(spark, sf_dir):

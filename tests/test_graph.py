@@ -134,3 +134,20 @@ def test_sample_landmarks_any_id_type(spark):
     b = paths.sample_landmarks(strs, 100, seed=1).count()
     assert 100 < a < 320 and 100 < b < 320
     assert paths.sample_landmarks(ints, 100, seed=1).count() == a  # reproducible
+
+
+def test_walk_steps_are_not_linear(spark):
+    """On complete graphs of degree 2, 3, 5 and 15 each neighbour is taken about equally often,
+    and a walk's choice does not repeat from step to step."""
+    from collections import Counter
+
+    from tessera.functions.ordering import hash_mixed
+
+    for degree in (2, 3, 5, 15):
+        rows = spark.range(2000).selectExpr("id as walk_id", "explode(sequence(1, 10)) as step").select(
+            "walk_id", "step", F.pmod(hash_mixed("walk_id", "step", 0), F.lit(degree)).alias("k")).collect()
+        taken = Counter(r.k for r in rows)
+        assert all(abs(taken[k] - 20000 / degree) < 6 * (20000 / degree) ** 0.5 for k in range(degree))
+        choice = {(r.walk_id, r.step): r.k for r in rows}
+        same = sum(choice[w, s] == choice[w, s + 1] for w in range(2000) for s in range(1, 10)) / 18000
+        assert abs(same - 1 / degree) < 0.02
