@@ -1,8 +1,9 @@
 """File sources and sinks: text lines, delimited tables, edge and adjacency lists,
 word lists, labelled text corpora, word-vector text files, file listings.
 
-Every reader returns a DataFrame with a declared schema; parsing is done with
-built-in string functions so it stays in the JVM and splits across files.
+Readers return DataFrames with a declared schema (those whose columns the file's header names
+read strings and cast); parsing is done with built-in string functions so it stays in the JVM
+and splits across files.
 """
 
 from __future__ import annotations
