@@ -7,10 +7,13 @@ by a top-k (TakeOrderedAndProject). No join against the query side is needed.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.vectors import cosine, dot, scale, unit
+from tessera.session import cut_lineage
 
 
 def mean_vector(vectors: DataFrame, vec: str = "vector") -> DataFrame:
@@ -102,41 +105,75 @@ __all__ = [
 ]
 
 
-def analogy_predictions(vectors: DataFrame, questions: DataFrame, restrict_vocab: int = 30000, key: str = "key", vec: str = "vector") -> DataFrame:
+def analogy_predictions(vectors: DataFrame, questions: DataFrame, key: str = "key", vec: str = "vector", block: int = 8192) -> DataFrame:
     """Answer ``a : b :: c : ?`` questions: the vocabulary key maximising
     unit(x) · (unit(b) − unit(a) + unit(c)), a, b and c excluded, ties → smallest key.
 
-    The candidate vocabulary is the first ``restrict_vocab`` keys (most frequent first,
-    i.e. key order here); it is shipped to the tasks as one broadcast matrix whose size
-    is bounded by ``restrict_vocab`` × dimension, and questions are scored partition by
-    partition with one matrix–vector product each. Questions using a word outside the
-    restricted vocabulary are skipped. ``questions(qid, section, a, b, c, expected)``.
+    Every key of ``vectors`` is a candidate. The questions' target vectors come from joins;
+    they are numbered and taken ``block`` at a time. Such a block (``block`` × dimension
+    doubles, whatever the vocabulary) is shipped to the tasks, each of which scores its part of
+    the vocabulary batch by batch and keeps one best key a question; the parts' best are merged
+    by an aggregation. Questions with a key that has no vector, or a zero one, are skipped.
+    ``questions(qid, section, a, b, c, expected)``; ``qid`` is unique.
     """
+    from pyspark.sql import types as T
+
+    from tessera.functions.ordering import with_global_position
+
+    units = cut_lineage(vectors.select(key, unit(F.col(vec)).alias("u")).where(F.col("u").isNotNull()))
+    target = questions.select("qid", "section", "a", "b", "c", "expected")
+    for word in ("a", "b", "c"):
+        target = target.join(units.select(F.col(key).alias(word), F.col("u").alias(f"u{word}")), word)
+    shift = F.zip_with(F.zip_with("ub", "ua", lambda x, y: x - y), "uc", lambda x, y: x + y)
+    asked = cut_lineage(with_global_position(target.withColumn("q", shift).drop("ua", "ub", "uc"), ["qid"], "n"))
+    schema = T.StructType([
+        T.StructField("qid", questions.schema["qid"].dataType), T.StructField("score", T.DoubleType()),
+        T.StructField("predicted", vectors.schema[key].dataType),
+    ])
+    total = asked.agg(F.max("n")).first()[0]
+    best = [
+        units.mapInPandas(_best_keys(asked.where((F.col("n") >= at) & (F.col("n") < at + block)).toPandas(), key), schema)
+        for at in range(0, 0 if total is None else total + 1, block)
+    ]
+    if not best:
+        return asked.select("qid", "section", F.lit(None).cast(vectors.schema[key].dataType).alias("predicted"), "expected")
+    found = reduce(DataFrame.union, best).groupBy("qid").agg(
+        F.min_by("predicted", F.struct(-F.col("score"), F.col("predicted"))).alias("predicted")
+    )
+    return asked.join(found, "qid").select("qid", "section", "predicted", "expected")
+
+
+def _best_keys(asked, key: str):
+    """A task's function: the best key of its rows for each question of the block ``asked``."""
     import numpy as np
     import pandas as pd
 
-    spark = vectors.sparkSession
-    vocab = vectors.orderBy(key).limit(restrict_vocab).select(key, unit(F.col(vec)).alias("u")).toPandas()
-    keys = vocab[key].to_numpy()
-    mat = np.vstack(vocab["u"].to_numpy()) if len(vocab) else np.zeros((0, 0))
-    bc = spark.sparkContext.broadcast((keys, mat))
+    targets = np.vstack(asked["q"].to_numpy()).T
+    words = asked[["a", "b", "c"]].to_numpy()
+    qids = asked["qid"].to_numpy()
+    asking = pd.DataFrame({"word": words.ravel(), "column": np.repeat(np.arange(len(qids)), 3)})
 
     def score(batches):
-        ks, m = bc.value
-        index = {k: i for i, k in enumerate(ks.tolist())}
-        for pdf in batches:
-            out = []
-            for row in pdf.itertuples(index=False):
-                ia, ib, ic = index.get(row.a), index.get(row.b), index.get(row.c)
-                if ia is None or ib is None or ic is None:
-                    continue
-                s = m @ (m[ib] - m[ia] + m[ic])
-                s[[ia, ib, ic]] = -np.inf
-                out.append((row.qid, row.section, int(ks[int(np.argmax(s))]), row.expected))
-            yield pd.DataFrame(out, columns=["qid", "section", "predicted", "expected"])
-
-    schema = f"qid long, section string, predicted {vectors.schema[key].dataType.simpleString()}, expected {questions.schema['expected'].dataType.simpleString()}"
-    return questions.select("qid", "section", "a", "b", "c", "expected").mapInPandas(score, schema)
+        top, who = np.full(len(qids), -np.inf), np.empty(len(qids), dtype=object)
+        for rows in batches:
+            rows = rows.sort_values(key, ignore_index=True)
+            for at in range(0, len(rows), 1024):
+                part = rows.iloc[at : at + 1024]
+                keys = part[key].to_numpy()
+                scores = np.vstack(part["u"].to_numpy()) @ targets
+                own = pd.DataFrame({"word": keys, "row": np.arange(len(keys))}).merge(asking, on="word")
+                scores[own["row"], own["column"]] = -np.inf
+                row = scores.argmax(axis=0)  # ties: the smallest key, as rows are sorted
+                value = scores[row, np.arange(len(qids))]
+                better = value > top
+                for q in np.flatnonzero((value == top) & np.isfinite(value)):
+                    better[q] = keys[row[q]] < who[q]
+                top[better], who[better] = value[better], keys[row[better]]
+        seen = np.isfinite(top)
+        if seen.any():
+            yield pd.DataFrame({"qid": qids[seen], "score": top[seen], "predicted": who[seen].tolist()})
+
+    return score
 
 
 def analogy_accuracy(predictions: DataFrame) -> DataFrame:

@@ -304,26 +304,6 @@ def articulation_points(spark, sf_dir):
     return ap(tables.bipartite_edges(spark, sf_dir))
 
 
-@register("gnp_customers")
-def gnp_customers(spark, sf_dir):
-    """G(n, p = 0.01) over the customers (ids = key − smallest key): random, rows only."""
-    from tessera.operators.graph.generate import gnp
-
-    c = tables.table(spark, sf_dir, "customer")
-    cust = c.select((F.col("c_custkey") - c.agg(F.min("c_custkey")).scalar()).alias("id"))
-    return gnp(cust, 0.01, seed=7)
-
-
-@register("gnm_customers")
-def gnm_customers(spark, sf_dir):
-    """G(n, m) with n = customers and m = orders / 10: random, rows only."""
-    from tessera.operators.graph.generate import gnm
-
-    n = tables.table(spark, sf_dir, "customer").count()
-    m = tables.table(spark, sf_dir, "orders").count() // 10
-    return gnm(spark, n, m, seed=7)
-
-
 @register(
     "power_law_fit_counts",
     f"""

@@ -145,15 +145,17 @@ def nb_predictions(spark, sf_dir):
     return _nb_test_predictions(spark, sf_dir)
 
 
-@register(
-    "nb_eval",
+NB_EVAL_SQL = (
     NB_PRED_SQL
     + """
     SELECT COUNT(*) FILTER (WHERE truth = 1 AND pred = 1) AS tp, COUNT(*) FILTER (WHERE truth = 1 AND pred = 0) AS fn,
            COUNT(*) FILTER (WHERE truth = 0 AND pred = 1) AS fp, COUNT(*) FILTER (WHERE truth = 0 AND pred = 0) AS tn,
            ROUND(AVG(CASE WHEN truth = pred THEN 1.0 ELSE 0.0 END), 6) AS accuracy FROM pred
-    """,
+    """
 )
+
+
+@register("nb_eval", NB_EVAL_SQL)
 def nb_eval(spark, sf_dir):
     e = classify.binary_eval(_nb_test_predictions(spark, sf_dir), "truth", "pred")
     return e.select("tp", "fn", "fp", "tn", F.round("accuracy", 6).alias("accuracy"))
@@ -171,13 +173,14 @@ def _vectors(spark, sf_dir):
     return classify.to_vectors(train, words), classify.to_vectors(test, words), len(words)
 
 
-@register("spark_nb_eval")
+@register("spark_nb_eval", NB_EVAL_SQL)
 def spark_nb_eval(spark, sf_dir):
-    """Spark ML Bernoulli naive Bayes on the binary vectors (model-valued: rows only)."""
+    """Spark ML Bernoulli naive Bayes on the binary vectors."""
     tr, te, _ = _vectors(spark, sf_dir)
     model = classify.spark_naive_bayes("bernoulli").fit(tr.withColumn("label", F.col("label").cast("double")))
     pred = model.transform(te).select(F.col("label").alias("truth"), F.col("prediction").cast("int").alias("pred"))
-    return classify.binary_eval(pred, "truth", "pred")
+    e = classify.binary_eval(pred, "truth", "pred")
+    return e.select("tp", "fn", "fp", "tn", F.round("accuracy", 6).alias("accuracy"))
 
 
 @register("lr_eval")
@@ -204,6 +207,50 @@ def gaussian_nb_params(spark, sf_dir):
     return g.select("label", "pos", F.round("mean", 6).alias("mean"), F.round("var", 6).alias("var"))
 
 
+GNB_SQL = f"""
+    WITH r AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x,
+                      (((vec_id % {M}) * 1103515245 + 23 * 12345) % {M}) % 10 < 8 AS train FROM embeddings WHERE label IS NOT NULL),
+    f AS (SELECT vec_id, label, train, generate_subscripts(x, 1) AS pos, unnest(x) AS v FROM r),
+    eps AS (SELECT 1e-9 * MAX(s) AS e FROM (SELECT VAR_POP(v) AS s FROM f WHERE train GROUP BY pos) q),
+    pr AS (SELECT label, pos, AVG(v) AS m, VAR_POP(v) + (SELECT e FROM eps) AS s FROM f WHERE train GROUP BY label, pos),
+    pri AS (SELECT label, LN(COUNT(*)) - LN((SELECT COUNT(*) FROM r WHERE train)) AS p FROM r WHERE train GROUP BY label),
+    sc AS (SELECT f.vec_id, f.label AS truth, pr.label,
+                  ANY_VALUE(pri.p) - 0.5 * SUM(LN(2 * PI() * pr.s) + (f.v - pr.m) * (f.v - pr.m) / pr.s) AS score
+           FROM f JOIN pr ON pr.pos = f.pos JOIN pri ON pri.label = pr.label WHERE NOT f.train GROUP BY f.vec_id, f.label, pr.label),
+    pred AS (SELECT vec_id, truth, arg_min(label, (-score, label)) AS pred FROM sc GROUP BY vec_id, truth)
+"""
+
+
+def _gaussian_nb(spark, sf_dir):
+    """``(vec_id, truth, pred)`` of the held-out fifth, by parameters of the rest."""
+    e = tables.table(spark, sf_dir, "embeddings").where(F.col("label").isNotNull())
+    r = e.select("vec_id", "label", F.transform("embedding", lambda x: x.cast("double")).alias("x"))
+    train = F.pmod(hash_uniform("vec_id", 23), F.lit(10)) < 8
+    model = classify.gaussian_nb_fit(r.where(train), "label", "x")
+    test = r.where(~train).select("vec_id", F.col("label").alias("truth"), "x")
+    pred = classify.gaussian_nb_predict(test.select("vec_id", "x"), model, "vec_id", "label", "x")
+    return test.select("vec_id", "truth").join(pred, "vec_id")
+
+
+@register("gaussian_nb_predictions", GNB_SQL + " SELECT vec_id, truth, pred FROM pred")
+def gaussian_nb_predictions(spark, sf_dir):
+    return _gaussian_nb(spark, sf_dir)
+
+
+@register(
+    "gaussian_nb_eval",
+    GNB_SQL + """
+    SELECT truth, pred, COUNT(*) AS count, ROUND(COUNT(*) / SUM(COUNT(*)) OVER (PARTITION BY truth), 6) AS share
+    FROM pred GROUP BY truth, pred
+    """,
+)
+def gaussian_nb_eval(spark, sf_dir):
+    """Confusion counts and each one's share of its true class."""
+    cells = _gaussian_nb(spark, sf_dir).groupBy("truth", "pred").agg(F.count(F.lit(1)).alias("count"))
+    per = cells.groupBy("truth").agg(F.sum("count").alias("n"))
+    return cells.join(per, "truth").select("truth", "pred", "count", F.round(F.col("count") / F.col("n"), 6).alias("share"))
+
+
 RAW_TOK_SQL = f"SELECT doc_id, list_filter(regexp_split_to_array(text, '{WS}'), lambda t: t <> '') AS tokens FROM documents"
 
 
@@ -249,6 +296,21 @@ def context_pairs(spark, sf_dir):
     return ops.context_counts(raw_tokens(spark, sf_dir), window=2)
 
 
+@register(
+    "context_pair_counts",
+    f"""
+    WITH p AS (SELECT doc_id, generate_subscripts(tokens, 1) AS pos, unnest(tokens) AS word FROM ({RAW_TOK_SQL}) t)
+    SELECT a.word, b.word AS context, COUNT(*) AS count FROM p a JOIN p b ON a.doc_id = b.doc_id
+      AND b.pos BETWEEN a.pos - 2 AND a.pos + 2 AND b.pos <> a.pos
+    GROUP BY a.word, b.word
+    """,
+)
+def context_pair_counts(spark, sf_dir):
+    """The (word, context) pairs within two tokens of each other and how often each occurs."""
+    pairs = ops.context_pairs(raw_tokens(spark, sf_dir), window=2)
+    return pairs.groupBy("word", "context").agg(F.count(F.lit(1)).alias("count"))
+
+
 @register(
     "rechunk_tokens",
     f"""
@@ -316,32 +378,11 @@ def doc_vector_eval(spark, sf_dir):
     from pyspark.ml.feature import Word2Vec
 
     train, test = _split(spark, sf_dir)
-    w2v = Word2Vec(vectorSize=50, windowSize=5, minCount=1, maxIter=1, seed=42, inputCol="tokens", outputCol="features")
+    parts = classify.training_parts(train)
+    w2v = Word2Vec(vectorSize=50, windowSize=5, minCount=1, maxIter=1, numPartitions=parts, seed=42, inputCol="tokens", outputCol="features")
     model = w2v.fit(train)
     tr, te = model.transform(train), model.transform(test)
     n = tr.count()
     lr = classify.spark_logistic_regression(n).fit(tr.withColumn("label", F.col("label").cast("double")))
     pred = lr.transform(te).select(F.col("label").alias("truth"), F.col("prediction").cast("int").alias("pred"))
     return classify.binary_eval(pred, "truth", "pred")
-
-
-@register("paragraph_vectors")
-def paragraph_vectors(spark, sf_dir):
-    """Paragraph vectors (distributed bag of words: 100-d, 5 negatives, 5 passes, min count 1)
-    for every labelled document, then logistic regression on the training part and
-    evaluation on the test part (model-valued: rows only)."""
-    from pyspark.ml.functions import array_to_vector
-
-    from tessera.operators.docvec import train_doc_vectors
-
-    r = reviews(spark, sf_dir)
-    vecs = train_doc_vectors(r.select("doc_id", "tokens"), dim=100, negative=5, epochs=5, min_count=1)
-    data = r.select("doc_id", "label", "part").join(vecs, "doc_id").select(
-        "part", F.col("label").cast("double").alias("label"), array_to_vector("vector").alias("features")
-    )
-    train = data.where(F.col("part") == "train")
-    model = classify.spark_logistic_regression(train.count()).fit(train)
-    pred = model.transform(data.where(F.col("part") == "test")).select(
-        F.col("label").cast("int").alias("truth"), F.col("prediction").cast("int").alias("pred")
-    )
-    return classify.binary_eval(pred, "truth", "pred")

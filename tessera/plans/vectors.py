@@ -251,11 +251,14 @@ def kernel_ols(spark, sf_dir):
 # ---- analogy questions derived from the label groups -------------------------------------
 
 ANALOGY_SQL = """
-    WITH r AS (SELECT vec_id, label, ROW_NUMBER() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS rk FROM embeddings),
+    WITH nx AS (SELECT label, COALESCE(LEAD(label) OVER (ORDER BY label), MIN(label) OVER ()) AS nxt
+                FROM (SELECT DISTINCT label FROM embeddings) l),
+    r AS (SELECT vec_id, embeddings.label, nxt, ROW_NUMBER() OVER (PARTITION BY embeddings.label ORDER BY vec_id) - 1 AS rk
+          FROM embeddings JOIN nx ON nx.label = embeddings.label),
     q AS (SELECT a.vec_id * 1 AS qid, 'label_' || CAST(a.label AS VARCHAR) AS section, a.vec_id AS a, b.vec_id AS b,
                  c.vec_id AS c, d.vec_id AS expected
           FROM r a JOIN r b ON b.label = a.label AND b.rk = a.rk + 1
-          JOIN r c ON c.label = (a.label + 1) % 10 AND c.rk = a.rk
+          JOIN r c ON c.label = a.nxt AND c.rk = a.rk
           JOIN r d ON d.label = c.label AND d.rk = c.rk + 1),
     v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
     u AS (SELECT vec_id, list_transform(x, lambda t: t / sqrt(list_sum(list_transform(x, lambda y: y * y)))) AS u FROM v),
@@ -268,14 +271,19 @@ ANALOGY_SQL = """
 
 
 def analogy_questions(spark, sf_dir):
-    """a, b consecutive vectors of one label; c, expected the same ranks in the next label."""
-    from tessera.functions.ordering import rank_within
+    """a, b consecutive vectors of one label; c, expected the same ranks in the next label
+    (the smallest label follows the largest)."""
+    from tessera.functions.ordering import rank_within, with_global_position
 
     e = tables.table(spark, sf_dir, "embeddings").select("vec_id", "label")
     r = rank_within(e, "label", ["vec_id"], "rk")
     a = r.select(F.col("vec_id").alias("a"), F.col("label").alias("la"), F.col("rk").alias("ra"))
     b = r.select(F.col("vec_id").alias("b"), F.col("label").alias("la"), (F.col("rk") - 1).alias("ra"))
-    c = r.select(F.col("vec_id").alias("c"), ((F.col("label") + 9) % 10).alias("la"), F.col("rk").alias("ra"), F.col("label").alias("lc"))
+    labels = with_global_position(e.where(F.col("label").isNotNull()).select("label").distinct(), ["label"], "at")
+    count = labels.agg(F.count(F.lit(1))).scalar()
+    before = labels.select(F.col("label").alias("la"), F.pmod(F.col("at") + 1, count).alias("at")).join(
+        labels.select(F.col("label").alias("lc"), "at"), "at").select("la", "lc")
+    c = r.select(F.col("vec_id").alias("c"), F.col("label").alias("lc"), F.col("rk").alias("ra")).join(before, "lc")
     d = r.select(F.col("vec_id").alias("expected"), F.col("label").alias("lc"), (F.col("rk") - 1).alias("ra"))
     q = a.join(b, ["la", "ra"]).join(c, ["la", "ra"]).join(d, ["lc", "ra"])
     return q.select(F.col("a").alias("qid"), F.concat(F.lit("label_"), F.col("la").cast("string")).alias("section"), "a", "b", "c", "expected")
@@ -292,7 +300,7 @@ def analogy_questions(spark, sf_dir):
     """,
 )
 def analogy_accuracy(spark, sf_dir):
-    """Analogy accuracy by section and in total, vocabulary restricted to the first 30,000 keys."""
-    pred = V.analogy_predictions(word_vectors(spark, sf_dir), analogy_questions(spark, sf_dir), restrict_vocab=30000)
+    """Analogy accuracy by section and in total, over the whole vocabulary."""
+    pred = V.analogy_predictions(word_vectors(spark, sf_dir), analogy_questions(spark, sf_dir))
     acc = V.analogy_accuracy(pred)
     return acc.select("section", F.col("correct").cast("bigint").alias("correct"), "total", F.round("accuracy", 6).alias("accuracy"))

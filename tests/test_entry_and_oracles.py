@@ -14,7 +14,9 @@ FAST = [
     "user_totals_top3", "popularity_eval", "feature_words", "nb_eval", "word_counts_min", "most_similar",
     "kernel_regression", "modularity", "merged_categories", "dice_by_image", "mini_batches", "typed_graph_degrees",
     "power_law_fit", "random_walks", "closeness_users", "tagged_rows", "power_law_fit_counts", "analogy_accuracy",
-    "edge_attribute_cosine", "urgent_bulk_cut_vertices",
+    "edge_attribute_cosine", "urgent_bulk_cut_vertices", "io_text_lines", "io_edge_list_large", "io_labelled_texts",
+    "io_line_corpus", "io_adjacency", "io_word_vectors", "io_file_listing", "gaussian_nb_predictions", "spark_nb_eval",
+    "nan_vectors", "null_checks", "edge_lookup", "vector_lookup",
 ]
 
 

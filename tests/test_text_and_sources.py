@@ -135,3 +135,26 @@ def test_hot_key_ranks_are_spread_and_exact(spark):
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
     pos = with_global_position(df, ["k", "v"], "pos")
     assert sorted(r.pos for r in pos.select("pos").collect()) == list(range(n))
+
+
+def test_analogies_in_blocks_equal_brute_force(spark):
+    import numpy as np
+
+    from tessera.operators.vectors import analogy_predictions
+
+    rng = np.random.default_rng(5)
+    words = {k: rng.normal(size=4).round(3) for k in range(40)}
+    words[40] = words[7]  # a tie
+    rows = [(k, [float(x) for x in v]) for k, v in words.items()] + [(41, [0.0] * 4)]
+    asked = [(i, "s", *map(int, rng.choice(41, 3, replace=False)), 0) for i in range(30)] + [(30, "s", 1, 2, 99, 0), (31, "s", 1, 41, 2, 0)]
+    v = spark.createDataFrame(rows, "key long, vector array<double>").repartition(3)
+    q = spark.createDataFrame(asked, "qid long, section string, a long, b long, c long, expected long")
+    got = {r.qid: r.predicted for r in analogy_predictions(v, q, block=7).collect()}
+    unit = {k: x / np.linalg.norm(x) for k, x in words.items()}
+    want = {}
+    for i, _, a, b, c, _ in asked[:30]:
+        t = unit[b] - unit[a] + unit[c]
+        best = max(float(unit[k] @ t) for k in unit if k not in (a, b, c))
+        want[i] = min(k for k in unit if k not in (a, b, c) and float(unit[k] @ t) >= best - 1e-12)
+    assert got == want
+    assert analogy_predictions(v, q.where("qid > 99")).count() == 0
