@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tessera.plans.registry import register
 from tessera.plans.text import FEATURES_SQL, _features
+from tessera.session import cut_lineage
 from tessera.sources import tables
 from tessera.streaming import events as ev
 from tessera.streaming import sentiment as st
@@ -38,20 +39,24 @@ TAGGED_SQL = f"""
 """
 
 
-def _run(spark, sf_dir):
-    lists = sentiment_lists(spark, sf_dir).cache()
-    msgs = stream_of(spark, sf_dir, "documents").select(F.col("text").alias("value"))
-    return st.run_sentiment_stream(spark, msgs, lists)
+BOTH_SQL = "(VALUES ('positive'), ('negative')) b(label)"
 
 
-@register("stream_sentiment_running", f"SELECT label, COUNT(*) AS count FROM ({TAGGED_SQL}) t GROUP BY label")
+def _run(spark, sf_dir, messages=None):
+    lists = cut_lineage(sentiment_lists(spark, sf_dir))  # read by every micro-batch
+    if messages is None:
+        messages = stream_of(spark, sf_dir, "documents").select(F.col("text").alias("value"))
+    return st.run_sentiment_stream(spark, messages, lists)
+
+
+@register("stream_sentiment_running", f"SELECT b.label, COUNT(t.label) AS count FROM {BOTH_SQL} LEFT JOIN ({TAGGED_SQL}) t ON t.label = b.label GROUP BY b.label")
 def stream_sentiment_running(spark, sf_dir):
     """Running positive/negative token counts after the whole document stream."""
     totals, _ = _run(spark, sf_dir)
     return spark.read.parquet(totals).select("label", "count")
 
 
-@register("stream_batch_counts", f"SELECT CAST(0 AS BIGINT) AS batch_id, label, COUNT(*) AS count FROM ({TAGGED_SQL}) t GROUP BY label")
+@register("stream_batch_counts", f"SELECT CAST(0 AS BIGINT) AS batch_id, b.label, COUNT(t.label) AS count FROM {BOTH_SQL} LEFT JOIN ({TAGGED_SQL}) t ON t.label = b.label GROUP BY b.label")
 def stream_batch_counts(spark, sf_dir):
     """Per-batch counts with their batch id (one batch per input file)."""
     _, history = _run(spark, sf_dir)
@@ -89,7 +94,7 @@ def stream_event_windows(spark, sf_dir):
 
 @register(
     "stream_running_totals",
-    f"SELECT CAST(0 AS BIGINT) AS batch_id, label, COUNT(*) AS running FROM ({TAGGED_SQL}) t GROUP BY label",
+    f"SELECT CAST(0 AS BIGINT) AS batch_id, b.label, COUNT(t.label) AS running FROM {BOTH_SQL} LEFT JOIN ({TAGGED_SQL}) t ON t.label = b.label GROUP BY b.label",
 )
 def stream_running_totals(spark, sf_dir):
     """Cumulative count per label after each batch, from the per-batch history."""
@@ -99,16 +104,14 @@ def stream_running_totals(spark, sf_dir):
 
 
 CONV_TAGGED_SQL = f"""
-    SELECT l.label FROM (SELECT unnest(string_split(text, ' ')) AS word FROM conversations WHERE role = 'user') t
+    SELECT l.label FROM (SELECT unnest(string_split(text, ' ')) AS word FROM conversations) t
     JOIN ({LISTS_SQL}) l ON l.word = t.word
 """
 
 
-@register("stream_conversation_sentiment", f"SELECT label, COUNT(*) AS count FROM ({CONV_TAGGED_SQL}) t GROUP BY label")
+@register("stream_conversation_sentiment", f"SELECT b.label, COUNT(t.label) AS count FROM {BOTH_SQL} LEFT JOIN ({CONV_TAGGED_SQL}) t ON t.label = b.label GROUP BY b.label")
 def stream_conversation_sentiment(spark, sf_dir):
-    """Running positive/negative counts over the user turns of the conversations stream,
+    """Running positive/negative counts over all turns of the conversations stream,
     with the word lists learned from the labelled documents."""
-    lists = sentiment_lists(spark, sf_dir).cache()
-    msgs = stream_of(spark, sf_dir, "conversations").where(F.col("role") == "user").select(F.col("text").alias("value"))
-    totals, _ = st.run_sentiment_stream(spark, msgs, lists)
+    totals, _ = _run(spark, sf_dir, stream_of(spark, sf_dir, "conversations").select(F.col("text").alias("value")))
     return spark.read.parquet(totals).select("label", "count")

@@ -2,9 +2,9 @@
 
 The same transformation serves batch and streaming DataFrames: split each
 message on single spaces, tag tokens found in the word lists (one broadcast
-join of a bounded list instead of two passes), and count per label. Running
-totals live in Spark's state store (``groupBy`` in complete mode); per-batch
-counts and their history are written by ``foreachBatch`` with the batch id.
+join of a bounded list instead of two passes), and count per label. Per-batch
+counts, their history and the running totals are written by ``foreachBatch``
+under the batch id.
 """
 
 from __future__ import annotations
@@ -19,6 +19,9 @@ from tessera.functions.joins import fits_broadcast
 from tessera.session import ensure_checkpoint_dir
 
 
+LABELS = ("positive", "negative")
+
+
 def word_lists(positive: DataFrame, negative: DataFrame) -> DataFrame:
     """``(word, label)`` with label 'positive' / 'negative' (one-word-per-line lists, de-duplicated)."""
     return positive.select(F.col("word"), F.lit("positive").alias("label")).union(
@@ -26,11 +29,6 @@ def word_lists(positive: DataFrame, negative: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def read_word_list(spark: SparkSession, path: str) -> DataFrame:
-    """One word per line, right-stripped; repeated lines collapse."""
-    return spark.read.text(path).select(F.rtrim(F.col("value")).alias("word")).where(F.col("word") != "").distinct()
-
-
 def tag_tokens(messages: DataFrame, lists: DataFrame, text_col: str = "value", broadcast_lists: bool = True) -> DataFrame:
     """``(label)`` per matched token; matching is case-sensitive on single-space tokens."""
     tokens = messages.select(F.explode(F.split(F.col(text_col), " ")).alias("word"))
@@ -39,7 +37,10 @@ def tag_tokens(messages: DataFrame, lists: DataFrame, text_col: str = "value", b
 
 
 def label_counts(tagged: DataFrame) -> DataFrame:
-    return tagged.groupBy("label").agg(F.count(F.lit(1)).alias("count"))
+    """``(label, count)`` of both labels, zero where no token matched."""
+    one = tagged.agg(*[F.count_if(F.col("label") == name).alias(name) for name in LABELS])
+    pairs = F.array(*[F.struct(F.lit(name).alias("label"), F.col(name).alias("count")) for name in LABELS])
+    return one.select(F.inline(pairs))
 
 
 def stream_folder(spark: SparkSession, name: str) -> str:
@@ -53,43 +54,40 @@ def run_sentiment_stream(
 ) -> tuple[str, str]:
     """Run the stream and return the paths of the running totals and of the per-batch history.
 
-    By default the available input is processed and the queries finish
+    One query reads the source once. Each micro-batch writes its counts, zeros included, and
+    the running totals (those of the batch before plus its own) into folders named by its id,
+    so a replayed batch writes the same again; ``totals`` holds the last batch's.
+    By default the available input is processed and the query finishes
     (``availableNow``). For a live source pass e.g. ``trigger={"processingTime": "10 seconds"}``
-    and ``run_seconds=100``: the queries run for that long and are then stopped
+    and ``run_seconds=100``: the query runs for that long and is then stopped
     gracefully. ``console`` also prints every batch's totals."""
     base = stream_folder(spark, "sentiment")
     totals_path, history_path = os.path.join(base, "totals"), os.path.join(base, "history")
     broadcast_ok = fits_broadcast(lists)
-    tagged = tag_tokens(messages, lists, text_col, broadcast_ok)
 
-    def write_totals(batch: DataFrame, batch_id: int):
-        # complete mode hands over the full running totals: overwrite is idempotent on replay
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(totals_path)
-
-    def write_history(batch: DataFrame, batch_id: int):
-        counts = label_counts(batch).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        counts.write.mode("overwrite").parquet(os.path.join(history_path, f"batch_id={batch_id}"))
-
-    trig = trigger or {"availableNow": True}
-    q1 = (
-        label_counts(tagged).writeStream.outputMode("complete").foreachBatch(write_totals)
-        .option("checkpointLocation", os.path.join(base, "ck_totals")).trigger(**trig).start()
-    )
-    q2 = (
-        tagged.writeStream.outputMode("append").foreachBatch(write_history)
-        .option("checkpointLocation", os.path.join(base, "ck_history")).trigger(**trig).start()
+    def of_batch(folder: str, batch_id: int) -> str:
+        return os.path.join(base, folder, f"batch_id={batch_id}")
+
+    def write_batch(batch: DataFrame, batch_id: int):
+        session = batch.sparkSession
+        label_counts(tag_tokens(batch, lists, text_col, broadcast_ok)).write.mode("overwrite").parquet(of_batch("history", batch_id))
+        known = session.read.parquet(of_batch("history", batch_id))
+        if batch_id > 0:
+            known = known.unionByName(session.read.parquet(of_batch("running", batch_id - 1)))
+        known.groupBy("label").agg(F.sum("count").alias("count")).write.mode("overwrite").parquet(of_batch("running", batch_id))
+        running = session.read.parquet(of_batch("running", batch_id))
+        running.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(totals_path)
+        if console:
+            running.show(truncate=False)
+
+    query = (
+        messages.writeStream.foreachBatch(write_batch)
+        .option("checkpointLocation", os.path.join(base, "checkpoint")).trigger(**(trigger or {"availableNow": True})).start()
     )
-    queries = [q1, q2]
-    if console:
-        queries.append(
-            label_counts(tagged).writeStream.outputMode("complete").format("console").trigger(**trig)
-            .option("checkpointLocation", os.path.join(base, "ck_console")).start()
-        )
-    for q in queries:
-        if run_seconds is None:
-            q.awaitTermination()
-        elif not q.awaitTermination(run_seconds):
-            q.stop()
+    if run_seconds is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(run_seconds):
+        query.stop()
     return totals_path, history_path
 
 
