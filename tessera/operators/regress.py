@@ -142,3 +142,14 @@ def glm_terms(spark, model, features: list[str]) -> DataFrame:
     pv = list(s.pValues)
     rows = [(n, c, float(e), float(p)) for n, c, e, p in zip(names, coefs, se, pv)]
     return spark.createDataFrame(rows, "term string, coefficient double, std_error double, p_value double")
+
+
+def deviance_test(full, smaller=None) -> tuple[float, float, float, float, float]:
+    """χ² test of a nested model from two fit summaries (``smaller`` None: the intercept alone):
+    deviance of the full and of the smaller model, degrees of freedom, difference, p-value
+    (1 where nothing was added)."""
+    d_full = float(full.deviance)
+    d_small = float(full.nullDeviance if smaller is None else smaller.deviance)
+    left = full.residualDegreeOfFreedomNull if smaller is None else smaller.residualDegreeOfFreedom
+    df, gain = float(left - full.residualDegreeOfFreedom), max(0.0, d_small - d_full)
+    return d_full, d_small, df, gain, chi2_sf(gain, df) if df > 0 and gain > 0 else 1.0

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tessera.functions.ordering import hash_uniform, rank_within, with_global_position
 from tessera.operators import clean, regress, stats
 from tessera.plans.registry import register
+from tessera.session import cut_lineage
 from tessera.sources import tables
 
 M = 2147483647
@@ -45,8 +46,10 @@ def auctions(spark, sf_dir):
     )
 
 
-def _pivots(train):
-    return {c: stats.mean_per_group(train, c, "competitive", "mean") for c in CATEGORICAL}
+def _level_means(train):
+    """``(column_name, level, mean)`` of every categorical column by one aggregation."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("level")) for c in CATEGORICAL])
+    return train.select("competitive", F.inline(pairs)).groupBy("column_name", "level").agg(F.avg("competitive").alias("mean"))
 
 
 PIVOT_SQL = " UNION ALL ".join(
@@ -57,12 +60,8 @@ PIVOT_SQL = " UNION ALL ".join(
 
 @register("group_means", f"SELECT column_name, level, ROUND(mean, 6) AS mean FROM ({PIVOT_SQL}) p")
 def group_means(spark, sf_dir):
-    train = auctions(spark, sf_dir).where(F.col("part") == "train")
-    parts = [
-        pv.select(F.lit(c).alias("column_name"), F.col(c).alias("level"), F.round("mean", 6).alias("mean"))
-        for c, pv in _pivots(train).items()
-    ]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    means = _level_means(auctions(spark, sf_dir).where(F.col("part") == "train"))
+    return means.select("column_name", "level", F.round("mean", 6).alias("mean"))
 
 
 def _merged_sql(c: str) -> str:
@@ -82,7 +81,13 @@ MERGED_SQL = " UNION ALL ".join(_merged_sql(c) for c in CATEGORICAL)
 
 
 def _merged_maps(train):
-    return {c: regress.merge_close_categories(pv, c, "mean", MERGE_THRESHOLD) for c, pv in _pivots(train).items()}
+    means = cut_lineage(_level_means(train))  # one row a level; read once a column
+    return {
+        c: regress.merge_close_categories(
+            means.where(F.col("column_name") == c).select(F.col("level").alias(c), "mean"), c, "mean", MERGE_THRESHOLD
+        )
+        for c in CATEGORICAL
+    }
 
 
 @register("merged_categories", MERGED_SQL)
@@ -96,7 +101,7 @@ def merged_categories(spark, sf_dir):
 
 
 def merged_auctions(spark, sf_dir):
-    a = auctions(spark, sf_dir)
+    a = cut_lineage(auctions(spark, sf_dir))
     maps = _merged_maps(a.where(F.col("part") == "train"))
     for c, m in maps.items():
         a = regress.apply_category_map(a, m.select(c, "merged"), c)
@@ -121,7 +126,7 @@ def category_counts(spark, sf_dir):
 
 
 def _glm_frame(spark, sf_dir):
-    a = merged_auctions(spark, sf_dir).where(F.col("part") == "train")
+    a = cut_lineage(merged_auctions(spark, sf_dir).where(F.col("part") == "train"))
     feats = ["l_discount", "l_tax", "l_quantity"]
     for c in CATEGORICAL:
         levels = clean.distinct_levels(a, c)
@@ -135,7 +140,7 @@ def glm_binomial(spark, sf_dir):
     """Logistic GLM on all predictors (merged categories one-hot, reference level dropped):
     coefficients, standard errors, p-values (model-valued: rows only)."""
     a, feats = _glm_frame(spark, sf_dir)
-    model = regress.fit_binomial_glm(a.cache(), feats, "competitive")
+    model = regress.fit_binomial_glm(a, feats, "competitive")
     t = regress.glm_terms(spark, model, feats)
     return t.select("term", *[F.round(c, 6).alias(c) for c in ("coefficient", "std_error", "p_value")])
 
@@ -144,7 +149,7 @@ def glm_binomial(spark, sf_dir):
 def glm_significant(spark, sf_dir):
     """Predictors with p < 0.05 and the one with the largest coefficient (rows only)."""
     a, feats = _glm_frame(spark, sf_dir)
-    t = regress.glm_terms(spark, regress.fit_binomial_glm(a.cache(), feats, "competitive"), feats).where(
+    t = regress.glm_terms(spark, regress.fit_binomial_glm(a, feats, "competitive"), feats).where(
         F.col("term") != "(Intercept)"
     )
     top = t.orderBy(F.col("coefficient").desc(), "term").limit(1).select(F.col("term").alias("_top"))
@@ -156,19 +161,19 @@ def glm_significant(spark, sf_dir):
 
 @register("glm_nested_test")
 def glm_nested_test(spark, sf_dir):
-    """χ² deviance test of the single largest-coefficient model against the full model (rows only)."""
+    """χ² deviance tests of two smaller models against the full one (rows only): ``single`` has
+    the predictor of the largest coefficient, ``reduced`` those with p < 0.05."""
     a, feats = _glm_frame(spark, sf_dir)
-    a = a.cache()
     full = regress.fit_binomial_glm(a, feats, "competitive")
     coefs = dict(zip(feats, [float(c) for c in full.coefficients]))
     best = max(sorted(feats), key=lambda f: coefs[f])
-    single = regress.fit_binomial_glm(a, [best], "competitive")
-    d_full, d_single = full.summary.deviance, single.summary.deviance
-    ddf = float(single.summary.residualDegreeOfFreedom - full.summary.residualDegreeOfFreedom)
-    p = regress.chi2_sf(d_single - d_full, ddf)
-    row = [(best, float(d_full), float(d_single), ddf, float(d_single - d_full), p)]
+    significant = [f for f, p in zip(feats, full.summary.pValues) if p < 0.05]
+    rows = []
+    for name, terms in (("single", [best]), ("reduced", significant)):
+        smaller = regress.fit_binomial_glm(a, terms, "competitive").summary if terms else None
+        rows.append((name, terms, *regress.deviance_test(full.summary, smaller)))
     return spark.createDataFrame(
-        row, "single_term string, deviance_full double, deviance_single double, df double, chi2 double, p_value double"
+        rows, "model string, terms array<string>, deviance_full double, deviance_model double, df double, chi2 double, p_value double"
     )
 
 

@@ -9,6 +9,7 @@ from tessera.functions.ordering import hash_uniform, rank_within
 from tessera.operators import classify
 from tessera.operators import text as ops
 from tessera.plans.registry import register
+from tessera.session import cut_lineage
 from tessera.sources import tables
 
 M = 2147483647
@@ -50,16 +51,29 @@ def reviews(spark, sf_dir):
 
 def _split(spark, sf_dir):
     r = reviews(spark, sf_dir)
+    return _parts(r)
+
+
+def _parts(r):
     return r.where(F.col("part") == "train"), r.where(F.col("part") == "test")
 
 
 def _features(spark, sf_dir):
+    return _feature_words(_split(spark, sf_dir)[0])
+
+
+def _feature_words(train):
     from pyspark.ml.feature import StopWordsRemover
 
-    train, _ = _split(spark, sf_dir)
     return ops.feature_words(train, StopWordsRemover.loadDefaultStopWords("english"))
 
 
+def _written_split(spark, sf_dir):
+    """Train, test and feature words from tokens written once."""
+    train, test = _parts(cut_lineage(reviews(spark, sf_dir)))
+    return train, test, cut_lineage(_feature_words(train))
+
+
 @register(
     "tokens_clean",
     f"SELECT doc_id, label, part, CAST(len(tokens) AS INTEGER) AS n_tokens, CAST(len(list_distinct(tokens)) AS INTEGER) AS n_distinct FROM ({REVIEWS_SQL}) r",
@@ -134,8 +148,9 @@ NB_PRED_SQL = (
 
 
 def _nb_test_predictions(spark, sf_dir):
-    train, test = _split(spark, sf_dir)
-    priors, theta = classify.bernoulli_nb_fit(train, _features(spark, sf_dir))
+    train, test, features = _written_split(spark, sf_dir)
+    priors, theta = classify.bernoulli_nb_fit(train, features)
+    theta = cut_lineage(theta)
     pred = classify.bernoulli_nb_predict(test, priors, theta)
     return test.select("doc_id", F.col("label").alias("truth")).join(pred, "doc_id")
 
@@ -161,15 +176,12 @@ def nb_eval(spark, sf_dir):
     return e.select("tp", "fn", "fp", "tn", F.round("accuracy", 6).alias("accuracy"))
 
 
-MAX_VOCAB = 1_000_000  # the fixed vocabulary of the vectoriser lives on the driver
-
-
 def _vectors(spark, sf_dir):
-    rows = _features(spark, sf_dir).select("word").limit(MAX_VOCAB + 1).collect()
-    if len(rows) > MAX_VOCAB:
-        raise ValueError("feature vocabulary too large for a fixed-vocabulary vectoriser")
-    words = sorted(r.word for r in rows)
-    train, test = _split(spark, sf_dir)
+    """Binary vectors of the training and the test part. The vocabulary on the driver does not
+    grow with the corpus: a feature word is in a hundredth of a class's documents, so there are
+    at most 100 words for each distinct word that the class's documents hold on average."""
+    train, test, features = _written_split(spark, sf_dir)
+    words = sorted(r.word for r in features.select("word").collect())
     return classify.to_vectors(train, words), classify.to_vectors(test, words), len(words)
 
 
