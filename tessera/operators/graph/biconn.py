@@ -37,7 +37,8 @@ def bfs_forest(e: DataFrame, roots: DataFrame) -> DataFrame:
     level = 0
     while True:
         level += 1
-        seen = reduce(lambda a, b: a.unionByName(b), layers).select("id")
+        # the graph is undirected: neighbours of one level lie on it or on the levels beside it
+        seen = reduce(DataFrame.unionByName, layers[-2:]).select("id")
         nxt = (
             frontier.select(F.col("id").alias("src"))
             .join(e, "src")

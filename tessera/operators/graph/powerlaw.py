@@ -6,38 +6,45 @@ Kolmogorov–Smirnov distance D = max |S(x) − (1 − (x/xmin)^(1−α))| over
 distinct tail values, S the empirical CDF of the tail. The fit is the xmin with
 the smallest D (ties: smaller xmin).
 
-Suffix sums give n and Σ ln x for every candidate from one ordered pass over the
-histogram. The KS maximum pairs each candidate with its tail values: the work
-is bounded by (distinct degrees)², which is at most 4·|E| and independent of
-the number of vertices with each degree.
+Running sums over the histogram give n and Σ ln x for every candidate. The KS maximum
+compares each candidate with its tail values: (distinct degrees)² comparisons, at most 4·|E|
+and independent of the number of vertices with each degree. The tail values travel as blocks
+of BLOCK values, one copy a block of candidates, so the pairs never become rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.ordering import prefix_sum_within
+from tessera.session import cut_lineage
+
+BLOCK = 1024
+
 
 def fit_power_law(hist: DataFrame, value: str = "degree", weight: str = "count") -> DataFrame:
     """One row ``(xmin, alpha, ks, n_tail)`` from a ``(value, weight)`` histogram."""
     h = hist.select(F.col(value).cast("double").alias("x"), F.col(weight).cast("double").alias("w")).where("x > 0")
-    # the histogram holds one row per distinct degree: ordered windows over it stay small
-    suffix = Window.orderBy(F.col("x").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    prefix = Window.orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
-    h = h.select(
-        "x", "w",
-        F.sum("w").over(suffix).alias("n"),
-        F.sum(F.col("w") * F.ln("x")).over(suffix).alias("sl"),
-        F.sum("w").over(prefix).alias("cum"),
-        F.max("x").over(Window.partitionBy(F.lit(1))).alias("xmax"),
+    h = h.select(F.lit(0).alias("all"), "x", (-F.col("x")).alias("down"), "w", (F.col("w") * F.ln("x")).alias("wl"))
+    h = prefix_sum_within(h, "all", ["x"], "w", "below")
+    h = cut_lineage(prefix_sum_within(h, "all", ["down"], "wl", "above"))
+    n_values, total, xmax = h.agg(F.count(F.lit(1)), F.sum("w"), F.max("x")).first()
+    blocks = max(1, -(-n_values // BLOCK))
+    block = F.pmod(F.xxhash64("x"), F.lit(blocks)).cast("int")
+    n = F.lit(total) - F.col("below")
+    cand = h.where(F.col("x") < F.lit(xmax)).select(
+        block.alias("block"), F.col("x").alias("xmin"), n.alias("n_tail"), "below",
+        (1 + n / (F.col("above") + F.col("wl") - n * F.ln("x"))).alias("alpha"),
     )
-    cand = h.where(F.col("x") < F.col("xmax")).select(
-        F.col("x").alias("xmin"), F.col("n").alias("n_tail"), (F.col("cum") - F.col("w")).alias("below"),
-        (1 + F.col("n") / (F.col("sl") - F.col("n") * F.ln("x"))).alias("alpha"),
+    tail = h.groupBy(block.alias("tail_block")).agg(
+        F.collect_list(F.struct("x", (F.col("below") + F.col("w")).alias("cum"))).alias("tail")
+    ).select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "tail")
+    distance = lambda t: F.when(
+        t.x >= F.col("xmin"),
+        F.abs((t.cum - F.col("below")) / F.col("n_tail") - (1 - F.pow(t.x / F.col("xmin"), 1 - F.col("alpha")))),
     )
-    tail = h.select(F.col("x").alias("xt"), F.col("cum").alias("cum_t"))
-    pairs = cand.join(tail, F.col("xt") >= F.col("xmin"))
-    dist = F.abs((F.col("cum_t") - F.col("below")) / F.col("n_tail") - (1 - F.pow(F.col("xt") / F.col("xmin"), 1 - F.col("alpha"))))
-    ks = pairs.groupBy("xmin", "alpha", "n_tail").agg(F.max(dist).alias("ks"))
+    met = cand.join(tail, "block").withColumn("ks", F.array_max(F.transform("tail", distance)))
+    ks = met.groupBy("xmin", "alpha", "n_tail").agg(F.max("ks").alias("ks"))
     best = ks.orderBy("ks", "xmin").limit(1)
     return best.select("xmin", "alpha", "ks", F.col("n_tail").cast("bigint").alias("n_tail"))

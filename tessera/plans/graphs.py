@@ -51,8 +51,8 @@ def graph_size(spark, sf_dir):
 
 USER_E_SQL = """
     SELECT a.user_id AS src, b.user_id AS dst FROM
-      (SELECT user_id, ROW_NUMBER() OVER (ORDER BY ts, event_id) AS pos FROM events WHERE event_type = 'error') a
-    JOIN (SELECT user_id, ROW_NUMBER() OVER (ORDER BY ts, event_id) AS pos FROM events WHERE event_type = 'error') b
+      (SELECT user_id, ROW_NUMBER() OVER (ORDER BY ts, event_id) AS pos FROM events) a
+    JOIN (SELECT user_id, ROW_NUMBER() OVER (ORDER BY ts, event_id) AS pos FROM events) b
       ON b.pos = a.pos + 1
     WHERE a.user_id <> b.user_id
 """

@@ -248,22 +248,23 @@ def gd_linear_l2(spark, sf_dir):
 @register(
     "overdispersion",
     """
-    WITH o AS (SELECT l_orderkey, SUM(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS x, COUNT(*) AS sz
-               FROM lineitem GROUP BY l_orderkey HAVING COUNT(*) = 4),
-    s AS (SELECT COUNT(*) AS n, SUM(x) / (COUNT(*) * 4.0) AS p, VAR_SAMP(x) AS v FROM o)
-    SELECT n, ROUND(p, 6) AS p, ROUND(v, 6) AS observed_var, ROUND(v / (4 * p * (1 - p)), 6) AS dispersion,
-           ROUND((n - 1) * v / (4 * p * (1 - p)), 4) AS statistic, n - 1 AS df FROM s
+    WITH o AS (SELECT l_orderkey, SUM(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS x, COUNT(*) AS size
+               FROM lineitem GROUP BY l_orderkey),
+    s AS (SELECT size, COUNT(*) AS n, SUM(x) / (COUNT(*) * size::DOUBLE) AS p, VAR_SAMP(x) AS v FROM o GROUP BY size)
+    SELECT size, n, ROUND(p, 6) AS p, ROUND(v, 6) AS observed_var,
+           ROUND(v / NULLIF(size * p * (1 - p), 0), 6) AS dispersion,
+           ROUND((n - 1) * v / NULLIF(size * p * (1 - p), 0), 4) AS statistic, n - 1 AS df FROM s
     """,
 )
 def overdispersion(spark, sf_dir):
-    """Binomial over-dispersion of returned lines per order, over orders of exactly four lines."""
+    """Binomial over-dispersion of returned lines per order, one row for every number of lines."""
     li = tables.table(spark, sf_dir, "lineitem")
     per = li.groupBy("l_orderkey").agg(
-        F.count_if(F.col("l_returnflag") == "R").alias("x"), F.count(F.lit(1)).alias("sz")
-    ).where(F.col("sz") == 4)
-    o = stats.overdispersion(per, "x", 4)
+        F.count_if(F.col("l_returnflag") == "R").alias("x"), F.count(F.lit(1)).alias("size")
+    )
+    o = stats.overdispersion_by_size(per, "x", "size")
     return o.select(
-        "n", F.round("p", 6).alias("p"), F.round("observed_var", 6).alias("observed_var"),
+        "size", "n", F.round("p", 6).alias("p"), F.round("observed_var", 6).alias("observed_var"),
         F.round("dispersion", 6).alias("dispersion"), F.round("statistic", 4).alias("statistic"), "df",
     )
 

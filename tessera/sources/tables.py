@@ -60,8 +60,8 @@ def bipartite_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def user_edges(spark: SparkSession, sf_dir: str, event_type: str = "error") -> DataFrame:
-    """Users linked when they follow each other in the event log of one type.
+def user_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users linked when they follow each other in the event log.
 
     Consecutive events by (ts, event_id) give an edge between their users. The
     ordering window has no partition key, so it is computed as a self-join on a
@@ -69,9 +69,7 @@ def user_edges(spark: SparkSession, sf_dir: str, event_type: str = "error") -> D
     """
     from tessera.functions.ordering import with_global_position
 
-    ev = table(spark, sf_dir, "events").where(F.col("event_type") == event_type).select(
-        "ts", "event_id", "user_id"
-    )
+    ev = table(spark, sf_dir, "events").select("ts", "event_id", "user_id")
     pos = with_global_position(ev, ["ts", "event_id"], "pos")
     nxt = pos.select((F.col("pos") - 1).alias("pos"), F.col("user_id").alias("dst"))
     return (

@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -80,6 +81,28 @@ def test_degree_distribution_properties(spark):
     assert sum(r["degree"] * r["count"] for r in hist) == e.count()
 
 
+def test_power_law_in_blocks(spark, monkeypatch):
+    """Several blocks of tail values give the fit of a plain scan."""
+    from tessera.operators.graph import powerlaw
+
+    monkeypatch.setattr(powerlaw, "BLOCK", 4)
+    hist = [(d, max(1, 400 // d**2) + d % 3) for d in range(1, 30)]
+    got = powerlaw.fit_power_law(spark.createDataFrame(hist, "degree long, count long")).first()
+    fits = []
+    for xmin, _ in hist[:-1]:
+        tail = [(x, w) for x, w in hist if x >= xmin]
+        n = sum(w for _, w in tail)
+        alpha = 1 + n / sum(w * math.log(x / xmin) for x, w in tail)
+        seen, worst = 0, 0.0
+        for x, w in tail:
+            seen += w
+            worst = max(worst, abs(seen / n - (1 - (x / xmin) ** (1 - alpha))))
+        fits.append((worst, xmin, alpha, n))
+    ks, xmin, alpha, n = min(fits)
+    assert (got.xmin, got.n_tail) == (xmin, n)
+    assert (got.alpha, got.ks) == (pytest.approx(alpha), pytest.approx(ks))
+
+
 def test_random_walk_steps_are_edges(spark):
     pairs = [p for p in random_pairs(30, 60, 4) if p[0] != p[1]]
     adj = adjacency(pairs)

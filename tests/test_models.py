@@ -58,6 +58,13 @@ def test_overdispersion_formula(spark):
     assert r.statistic == pytest.approx((len(xs) - 1) * var / (4 * p * (1 - p)))
 
 
+def test_overdispersion_without_a_ratio(spark):
+    df = spark.createDataFrame([(0, 1), (0, 1), (2, 3)], "x int, size int")
+    got = {r.size: r for r in stats.overdispersion_by_size(df, "x", "size").collect()}
+    assert (got[1].n, got[1].p, got[1].dispersion) == (2, 0.0, None)
+    assert (got[3].n, got[3].observed_var, got[3].dispersion) == (1, None, None)
+
+
 def test_hash_split_is_disjoint_and_balanced(spark):
     df = spark.range(20000).select(F.col("id").alias("user"), (F.col("id") * 7).alias("item"))
     s = recsys.split_by_hash(df, ["user", "item"], [0.4, 0.4, 0.2], seed=13)

@@ -1,6 +1,8 @@
 import os
 import tempfile
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -34,6 +36,31 @@ def test_exact_quantiles_linear(spark):
     assert (q.q0, q.q1) == (2.0, 3.0) and abs(q.q2 - 7.6) < 1e-12
 
 
+def test_exact_quantiles_in_brackets(spark):
+    """Above the size that takes the whole range: spread values, a hot value, nulls, gaps between brackets."""
+    import numpy as np
+
+    df = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, 0.5).when(F.col("id") % 50 == 1, F.lit(None)).otherwise(F.rand(3) * F.col("id")).alias("v")
+    ).persist()
+    probs = [0.0, 0.1, 0.25, 0.5, 0.505, 0.999, 1.0]
+    got = list(stats.exact_quantiles(df, "v", probs).first())
+    want = np.quantile([r.v for r in df.where("v is not null").collect()], probs)
+    df.unpersist()
+    assert got == pytest.approx(list(want), rel=1e-12)
+    assert list(stats.exact_quantiles(df.limit(0), "v", [0.5]).first()) == [None]
+    hot = spark.range(20_000).select(F.when(F.col("id") < 19_990, 7.0).otherwise(F.col("id").cast("double")).alias("v"))
+    assert list(stats.exact_quantiles(hot, "v", [0.25, 0.5, 0.75]).first()) == [7.0, 7.0, 7.0]
+
+
+def test_profile_counts(spark):
+    df = spark.createDataFrame([(1, "a"), (1, None), (None, "b"), (2, "a")], "n int, `odd name` string")
+    got = [tuple(r) for r in stats.profile(df).collect()]
+    assert sorted(got) == [("n", "int", 3, 1, 2), ("odd name", "string", 3, 1, 2)]
+    empty = stats.profile(df.limit(0)).collect()
+    assert {(r.non_null, r.nulls, r.distinct_values) for r in empty} == {(0, 0, 0)}
+
+
 def test_edge_and_adjacency_files(spark):
     d = tempfile.mkdtemp(dir="/tmp")
     small, large, adj = (os.path.join(d, x) for x in ("small.csv", "large.txt", "adj.txt"))
