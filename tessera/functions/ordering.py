@@ -86,8 +86,11 @@ def hash_mixed(*parts: Column | str | int) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
 
 
-def prefix_sum_within(df: DataFrame, key: str, order_cols: list, value: str, name: str = "prefix") -> DataFrame:
-    """Exclusive running sum of ``value`` inside each ``key`` group, by ``order_cols``.
+def prefix_sum_within(
+    df: DataFrame, key: str, order_cols: list, value: str | list[str], name: str | list[str] = "prefix"
+) -> DataFrame:
+    """Exclusive running sum of ``value`` inside each ``key`` group, by ``order_cols``; several
+    values with as many names are summed in one pass.
 
     Same result as ``sum(value) over (partition by key order by ... rows between
     unbounded preceding and 1 preceding)`` (0 for the first row), but a hot key is
@@ -96,15 +99,17 @@ def prefix_sum_within(df: DataFrame, key: str, order_cols: list, value: str, nam
     blocks of the same key (at most one block per partition and key).
     """
     cols = list(df.columns)
+    sums = list(zip([value] if isinstance(value, str) else value, [name] if isinstance(name, str) else name, strict=True))
     placed = cut_lineage(df.orderBy(key, *order_cols).withColumn("_pid", F.spark_partition_id()))
-    inner = Window.partitionBy(key, "_pid").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
-    local = placed.withColumn("_local", F.coalesce(F.sum(value).over(inner), F.lit(0)))
-    blocks = placed.groupBy(key, "_pid").agg(F.sum(value).alias("_bsum"))
-    outer = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    before = lambda x, w: F.coalesce(F.sum(x).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    inner = Window.partitionBy(key, "_pid").orderBy(*order_cols)
+    local = placed.withColumns({f"_local_{n}": before(v, inner) for v, n in sums})
+    blocks = placed.groupBy(key, "_pid").agg(*[F.sum(v).alias(f"_sum_{n}") for v, n in sums])
+    outer = Window.partitionBy(key).orderBy("_pid")
     offsets = blocks.select(
         F.col(key).alias("_okey"), F.col("_pid").alias("_opid"),
-        F.coalesce(F.sum("_bsum").over(outer), F.lit(0)).alias("_boff"),
+        *[before(f"_sum_{n}", outer).alias(f"_off_{n}") for _, n in sums],
     )
     # null-safe on the key: rows without a key (e.g. tree roots) form their own group
     cond = F.col(key).eqNullSafe(F.col("_okey")) & (F.col("_pid") == F.col("_opid"))
-    return local.join(offsets, cond).select(*cols, (F.col("_local") + F.col("_boff")).alias(name))
+    return local.join(offsets, cond).select(*cols, *[(F.col(f"_local_{n}") + F.col(f"_off_{n}")).alias(n) for _, n in sums])

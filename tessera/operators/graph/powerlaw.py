@@ -27,18 +27,18 @@ def fit_power_law(hist: DataFrame, value: str = "degree", weight: str = "count")
     """One row ``(xmin, alpha, ks, n_tail)`` from a ``(value, weight)`` histogram."""
     h = hist.select(F.col(value).cast("double").alias("x"), F.col(weight).cast("double").alias("w")).where("x > 0")
     h = h.select(F.lit(0).alias("all"), "x", (-F.col("x")).alias("down"), "w", (F.col("w") * F.ln("x")).alias("wl"))
-    h = prefix_sum_within(h, "all", ["x"], "w", "below")
-    h = cut_lineage(prefix_sum_within(h, "all", ["down"], "wl", "above"))
+    h = cut_lineage(prefix_sum_within(h, "all", ["down"], ["w", "wl"], ["above", "logs_above"]))
     n_values, total, xmax = h.agg(F.count(F.lit(1)), F.sum("w"), F.max("x")).first()
     blocks = max(1, -(-n_values // BLOCK))
     block = F.pmod(F.xxhash64("x"), F.lit(blocks)).cast("int")
-    n = F.lit(total) - F.col("below")
+    n = F.col("above") + F.col("w")
+    below = F.lit(total) - n
     cand = h.where(F.col("x") < F.lit(xmax)).select(
-        block.alias("block"), F.col("x").alias("xmin"), n.alias("n_tail"), "below",
-        (1 + n / (F.col("above") + F.col("wl") - n * F.ln("x"))).alias("alpha"),
+        block.alias("block"), F.col("x").alias("xmin"), n.alias("n_tail"), below.alias("below"),
+        (1 + n / (F.col("logs_above") + F.col("wl") - n * F.ln("x"))).alias("alpha"),
     )
     tail = h.groupBy(block.alias("tail_block")).agg(
-        F.collect_list(F.struct("x", (F.col("below") + F.col("w")).alias("cum"))).alias("tail")
+        F.collect_list(F.struct("x", (below + F.col("w")).alias("cum"))).alias("tail")
     ).select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "tail")
     distance = lambda t: F.when(
         t.x >= F.col("xmin"),
