@@ -165,7 +165,8 @@ def _near(least: float, k: int):
     return run
 
 
-def _links(percent: int):
+def block_links(percent: int):
+    """A mapInArrow function: the links inside each block pair of ``blocked`` sets (``id``, ``n``, ``hashes``)."""
     schema = pa.schema([("src", pa.int64()), ("dst", pa.int64())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,7 +237,7 @@ def links(docs: DataFrame, reps: DataFrame, percent: int = PERCENT, k: int = SKE
     sets = texts.select(F.col("doc_id").alias("id"), "text").mapInArrow(full, "id long, n long, hashes binary")
     return cut_lineage(
         blocked(near.join(sets, "id"), "n", BLOCK_HASHES).select("center", "_i", "_j", "_b", "id", "n", "hashes")
-        .mapInArrow(_links(percent), "src long, dst long").distinct()
+        .mapInArrow(block_links(percent), "src long, dst long").distinct()
     )
 
 

@@ -6,10 +6,12 @@ Anchors are common words (fixed lists, and one word in RARE by its hash, so that
 any language or none has anchors). A text too short for a chain is one signature of all its words.
 
 Likeness is the Jaccard index of two sets. It is at most the ratio of their lengths, so
-sets are kept in length classes and pairs whose bound lies under a floor are not compared.
+``near`` partitions the sets by length: sets whose classes are not neighbours are not
+compared. Inside a partition two sets meet when they share one of their rarest signatures, as
+any two of likeness PERCENT do, and the members of a list are compared in bounded blocks.
 
 Defined results: a null text is empty; an empty text has an empty fingerprint, alike (1) to
-another empty one and unlike (0) any other; a null id comes before all ids, equal ids follow
+another empty one and unlike (0) any other, and ``near`` links it with nothing; a null id comes before all ids, equal ids follow
 each other by text; repeated rows are rows; an empty table gives an empty result; other
 columns are ignored.
 """
@@ -21,10 +23,12 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Words, chunks, mix
+from tessera.llm.common import Words, chunks, mix, text_bytes
+from tessera.llm.neardup import BLOCK_HASHES, block_links, blocked
+from tessera.operators.graph.components import connected_components
 from tessera.session import cut_lineage
 
 CHAIN = 3
@@ -36,6 +40,8 @@ ANCHORS = (
     "le la les de des un une et est que en du pour dans qui sur pas au avec "
     "el los las del una por con se no para es su al lo como y"
 ).split()
+#: ``near`` links sets of this likeness.
+PERCENT = 80
 #: Documents in a range of ids that one task reads through, on average.
 RANGE_ROWS = 4000
 
@@ -185,6 +191,51 @@ _TYPES = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string,
           "near_edited double, near_next double")
 
 
-def length_class(sigs: int, floor: float) -> int:
-    """Sets whose classes differ by more than one cannot reach likeness ``floor``."""
-    return int(np.floor(np.log(max(sigs, 1)) / -np.log(floor)))
+def _sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sets = list(signatures([t or b"" for t in text_bytes(batch)]))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), pa.array([len(x) for x in sets], pa.int64()), pa.array([x.astype(np.uint64).tobytes() for x in sets], pa.binary())],
+            names=["doc_id", "n", "hashes"])
+
+
+def _unpack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sets = [np.frombuffer(x, np.int64) for x in batch.column("hashes").to_pylist()]
+        sizes = [len(x) for x in sets]
+        if sum(sizes):
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c).take(pa.array(np.repeat(np.arange(len(sets)), sizes))) for c in ("id", "set_key", "n")), pa.array(np.concatenate(sets))],
+                names=["id", "set_key", "n", "sig"])
+
+
+def near(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """``(doc_id, n_signatures, component_id)``, a row for each row of ``docs``: the smallest id that
+    links of 100 * intersection >= percent * union connect it with. A null id has no component."""
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    made = cut_lineage(plain.mapInArrow(_sets, "doc_id long, n long, hashes binary").withColumn("set_key", F.sha2("hashes", 256)))
+    usable = made.where("n > 0 and doc_id is not null")
+    reps = cut_lineage(usable.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("hashes").alias("hashes")))
+
+    # a set's rarest signatures, as many as leave fewer than the intersection needs
+    each = cut_lineage(reps.select("id", "set_key", "n", "hashes").mapInArrow(_unpack, "id long, set_key string, n long, sig long"))
+    order = Window.partitionBy("set_key").orderBy("owners", "sig")  # the signatures of one text
+    rarest = each.join(each.groupBy("sig").agg(F.count(F.lit(1)).alias("owners")), "sig").where("owners > 1").withColumn(
+        "place", F.row_number().over(order))
+    # a signature of one owner alone sorts first and meets nothing: it only uses up places
+    single = F.col("n") - F.count(F.lit(1)).over(Window.partitionBy("set_key"))
+    rarest = rarest.withColumn("place", F.col("place") + single).where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)
+
+    # a set is filed with its own length class and the next: classes further apart cannot link
+    own = F.floor(F.log("n") / -np.log(percent / 100) + 1e-9)
+    filed = rarest.select("id", "sig", F.explode(F.array(own, own + 1)).alias("length_class"))
+    heads = filed.groupBy("sig", "length_class").agg(F.min("id").alias("center"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    members = filed.join(heads, ["sig", "length_class"]).select("center", "id").distinct()
+    links = cut_lineage(
+        blocked(members.join(reps.select("id", "n", "hashes"), "id"), "n", BLOCK_HASHES)
+        .select("center", "_i", "_j", "_b", "id", "n", "hashes").mapInArrow(block_links(percent), "src long, dst long").distinct())
+    # equal sets link their ids; an id that owns several sets joins them
+    same = usable.join(reps.select("set_key", "id"), "set_key").where("id <> doc_id").select(F.col("id").alias("src"), F.col("doc_id").alias("dst"))
+    component = connected_components(links.where("src <> dst").union(same.distinct()))
+    return made.join(component.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
+        "doc_id", F.col("n").alias("n_signatures"), F.coalesce("component", "doc_id").alias("component_id"))

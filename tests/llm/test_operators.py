@@ -144,6 +144,28 @@ def brute_classes(rows):
     return {i: find(i) for i in root}, sets
 
 
+def test_near_fingerprints(odd, odd_rows, empty, monkeypatch):
+    """Classes over length partitions equal those of all pairs."""
+    monkeypatch.setattr(spotsigs, "BLOCK_HASHES", 60)
+    for percent in (80, 30):
+        rows = [(i, set(next(spotsigs.signatures([(t or "").encode()])).tolist())) for i, t, *_ in odd_rows]
+        parent = {i: i for i, _ in rows if i is not None}
+
+        def find(x, parent=parent):
+            while parent[x] != x:
+                x = parent[x]
+            return x
+
+        for i, a in rows:
+            for j, b in rows:
+                if i is not None and j is not None and a and b and 100 * len(a & b) >= percent * len(a | b):
+                    low, high = sorted((find(i), find(j)))
+                    parent[high] = low
+        want = Counter((i, len(x), None if i is None else find(i)) for i, x in rows)
+        assert Counter(tuple(r) for r in spotsigs.near(odd, percent).collect()) == want
+    assert spotsigs.near(empty).collect() == []
+
+
 def test_near_duplicates(odd, odd_rows, empty):
     want, sets = brute_classes(odd_rows)
     got = neardup.classes(odd).collect()
