@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.ordering import with_global_position
+from tessera.functions.joins import lookup_join
+from tessera.functions.ordering import hash_mixed, with_global_position
 
 
 def doc_frequency_by_class(docs: DataFrame, label: str = "label") -> DataFrame:
@@ -70,6 +71,17 @@ def keep_probability(counts: DataFrame, sample: float = 1e-3) -> DataFrame:
     return counts.select("word", "count", F.least(F.lit(1.0), (F.sqrt(c / t) + 1) * t / c).alias("keep_prob"))
 
 
+def subsample(docs: DataFrame, counts: DataFrame, sample: float = 1e-3, seed: int = 5) -> DataFrame:
+    """``(doc_id, pos, word)``: the tokens that frequent-word down-sampling keeps, with their places.
+
+    Each occurrence is kept by its own reproducible draw; words outside ``counts`` are left out.
+    """
+    tokens = docs.select("doc_id", F.posexplode("tokens").alias("pos", "word"))
+    kept = lookup_join(tokens, keep_probability(counts, sample).select("word", "keep_prob"), "word", "inner")
+    draw = hash_mixed("doc_id", "pos", seed)
+    return kept.where(draw < F.col("keep_prob") * float(1 << 32)).select("doc_id", "pos", "word")
+
+
 def context_pairs(docs: DataFrame, window: int = 2) -> DataFrame:
     """``(doc_id, pos, word, context)``: every token with each token within ±window of it.
 

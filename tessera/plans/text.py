@@ -295,6 +295,21 @@ def subsample_prob(spark, sf_dir):
     return k.select("word", "count", F.round("keep_prob", 8).alias("keep_prob"))
 
 
+@register(
+    "subsampled_tokens",
+    f"""
+    WITH c AS ({WC_SQL}), t AS (SELECT SUM(count) * 0.001 AS t FROM c),
+    k AS (SELECT word, LEAST(1.0, (SQRT(count / t) + 1) * t / count) AS keep_prob FROM c, t),
+    p AS (SELECT doc_id, CAST(generate_subscripts(tokens, 1) - 1 AS INTEGER) AS pos, unnest(tokens) AS word FROM ({RAW_TOK_SQL}) r)
+    SELECT doc_id, pos, p.word FROM p JOIN k ON k.word = p.word
+    WHERE CAST('0x' || substr(md5(concat_ws('|', doc_id, pos, 5)), 1, 8) AS BIGINT) < keep_prob * 4294967296.0
+    """,
+)
+def subsampled_tokens(spark, sf_dir):
+    docs = raw_tokens(spark, sf_dir)
+    return ops.subsample(docs, ops.word_counts(docs, min_count=5), sample=1e-3)
+
+
 @register(
     "context_pairs",
     f"""

@@ -138,7 +138,7 @@ def label_centroid_similarity(spark, sf_dir):
     return e.join(c, "label").select("vec_id", F.round(cosine(F.col("x"), F.col("centroid")), 6).alias("similarity"))
 
 
-# ---- kernel ("Bayesian") regression over label-centroid patterns -------------------------
+# ---- centroid-kernel regression: the patterns are label centroids, not training rows -----
 
 BUCKET_SQL = f"((((vec_id % {M}) * 1103515245 + 17 * 12345) % {M}) % 10)"
 HORIZONS = (16, 32, 64)
@@ -208,6 +208,7 @@ def kernel_table(spark, sf_dir):
 
 @register("kernel_regression", KERNEL_SQL)
 def kernel_regression(spark, sf_dir):
+    """Centroid-kernel regression: label weighted by e^(c·correlation) over the label centroids."""
     k = kernel_table(spark, sf_dir)
     return k.select("vec_id", "label", *[F.round(f"pred_{h}", 6).alias(f"pred_{h}") for h in HORIZONS])
 

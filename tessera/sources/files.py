@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -153,9 +154,20 @@ def write_lines(df: DataFrame, col: str, path: str) -> None:
     df.select(F.col(col).cast("string").alias("value")).write.mode("overwrite").text(path)
 
 
-def write_walks(walk_sentences: DataFrame, path: str) -> None:
-    """Walk corpus: one space-joined walk per line, one file per partition."""
+def write_walks(walk_sentences: DataFrame, path: str, expected_lines: int | None = None) -> bool:
+    """Walk corpus: one space-joined walk per line, one file per partition.
+
+    A corpus at ``path`` that already has ``expected_lines`` lines is kept. True when written.
+    """
+    if expected_lines is not None:
+        try:
+            if walk_sentences.sparkSession.read.text(path).count() == expected_lines:
+                return False
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
     walk_sentences.select(F.array_join("tokens", " ").alias("value")).write.mode("overwrite").text(path)
+    return True
 
 
 def image_manifest(spark: SparkSession, labels_path: str, image_dir: str, mask_dir: str) -> DataFrame:

@@ -84,6 +84,15 @@ def test_word_vector_roundtrip(spark):
     assert back == {"a": [1.0, 2.0], "b": [0.5, -1.0]}
 
 
+def test_walk_corpus_is_rebuilt_only_when_its_size_differs(spark, tmp_path):
+    path = str(tmp_path / "walks")
+    walks = lambda *w: spark.createDataFrame([(x,) for x in w], "tokens array<string>")
+    assert files.write_walks(walks(["a", "b"], ["c"]), path, expected_lines=2)
+    assert not files.write_walks(walks(["x"], ["y"]), path, expected_lines=2)
+    assert files.write_walks(walks(["x"], ["y"], ["z"]), path, expected_lines=3)
+    assert {r.value for r in files.text_lines(spark, path).collect()} == {"x", "y", "z"}
+
+
 def test_labelled_texts_and_manifest(spark):
     d = tempfile.mkdtemp(dir="/tmp")
     docs = tables.table(spark, SF_SMALL, "documents").orderBy("doc_id").limit(6).collect()
