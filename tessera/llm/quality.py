@@ -3,8 +3,9 @@
 Every word, adjacent word pair and character 3- and 4-gram (white space included, case
 kept) of a text is hashed to a row of an embedding table. A document is the average of its
 rows; a linear layer and softmax give the label. Embeddings and layer are learned together
-by numpy stochastic gradient descent on a bounded, documented sample of labelled rows,
-inside one task that sees that sample alone. A word pair that repeats its word falls on one
+by numpy stochastic gradient descent on a bounded, documented sample of labelled rows. All
+tasks that read the documents write their part of the sample; one task then reads what was
+written, and that alone. A word pair that repeats its word falls on one
 fixed row, so runs of a repeated word are visible whatever the word.
 
 Because the layer is linear, a row's whole effect on the score is one number: the model
@@ -26,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import Words, chunks, labelled_sample, mix, per_text, text_bytes
+from tessera.session import cut_lineage
 
 #: Rows of the embedding table; row 0 is the repeated word.
 BUCKETS = 1 << 16
@@ -107,7 +109,8 @@ def fit(examples: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, seed:
 
 
 def train(sample: DataFrame, seed: int = 11) -> tuple[np.ndarray, float]:
-    """The model from ``(doc_id, text, label)`` of bounded size, learned in one task."""
+    """The model from ``(doc_id, text, label)`` of bounded size, learned in one task: the sample is
+    to be a written table, or that task computes all that the sample comes from."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, examples, labels = [], [], []
@@ -146,5 +149,5 @@ def classify(docs: DataFrame, labels: DataFrame, training: Column, label: str =
              sample_rows: int = SAMPLE_ROWS, threshold: float = THRESHOLD) -> DataFrame:
     """``(doc_id, score, predicted)`` for every document; ``training`` names the rows whose labels are read."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    model = train(labelled_sample(texts, labels, label, training, sample_rows))
+    model = train(cut_lineage(labelled_sample(texts, labels, label, training, sample_rows)))
     return score(texts, model).withColumn("predicted", (F.col("score") >= threshold).cast("int"))

@@ -365,6 +365,16 @@ def test_quality(spark, odd, empty):
     assert quality.classify(empty, labels, training).collect() == []
 
 
+def test_quality_learns_from_a_written_sample(spark, monkeypatch):
+    """The task that learns reads the sample, not the documents through it."""
+    docs, labels, _ = labelled(spark, random.Random(4), ["BUY!!"], rows=60)
+    seen, train = [], quality.train
+    monkeypatch.setattr(quality, "train", lambda sample, *a: seen.append(sample) or train(sample, *a))
+    assert quality.classify(docs, labels, F.lit(True), sample_rows=20).count() == 60
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Scan parquet" in plan and seen[0].count() == 20
+
+
 def test_toxicity(spark, odd, empty):
     insults = ["grobnak", "plinfex", "grobnaken", "zwordel"]
     docs, labels, truth = labelled(spark, random.Random(2), insults)
