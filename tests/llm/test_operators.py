@@ -243,6 +243,38 @@ def test_rollup_batches(spark, odd, odd_rows, empty):
     assert totals(rolled) == totals(direct)
 
 
+def test_rollup_earlier_batch_again_and_reopened(spark, odd, tmp_path):
+    """Any batch may be committed again, also changed, in this process or a later one."""
+    def totals(rolled):
+        return sorted(tuple(str(x) for x in r) for r in rolled.totals().collect())
+
+    def commits(rolled, first=odd, ids=("1", "2", "3")):
+        if "1" in ids:
+            rolled.commit("1", rollup.count_tokens(first, "words-1"))
+        if "2" in ids:
+            rolled.commit("2", deletes=odd.where("doc_id % 3 = 0").select("doc_id"))
+        if "3" in ids:
+            rolled.commit("3", rollup.count_tokens(odd.where("doc_id % 3 = 1"), "words-2"))
+        return rolled
+
+    want = totals(commits(rollup.Rollup(spark, f"{tmp_path}/a")))
+    rolled = rollup.Rollup(spark, f"{tmp_path}/a")
+    assert totals(rolled) == want
+    assert totals(commits(rolled, ids="1")) == want
+    assert totals(commits(rolled, ids="2")) == want
+    last = rollup.count_tokens(odd.where("doc_id < 20"), "words-2")
+    rolled.commit("4", last, odd.where("doc_id >= 30").select("doc_id"))
+    fresh = commits(rollup.Rollup(spark))
+    fresh.commit("4", last, odd.where("doc_id >= 30").select("doc_id"))
+    assert totals(rolled) == totals(fresh)
+    # a first batch that lacked documents which later batches delete and revise, then has them
+    part = commits(rollup.Rollup(spark, f"{tmp_path}/b"), odd.where("doc_id > 12"))
+    assert totals(commits(part, ids="1")) == want
+    assert totals(rollup.Rollup(spark, f"{tmp_path}/b")) == want
+    part.commit("3", rollup.count_tokens(odd.limit(0), "words-2"))
+    assert totals(part) == totals(commits(rollup.Rollup(spark), ids=("1", "2")))
+
+
 # ---- 6, 7: packing
 
 def check_plan(lengths, capacity):
