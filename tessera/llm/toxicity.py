@@ -69,9 +69,8 @@ def words_of(text: str | None) -> set[str]:
         return set()
     text = text.lower()
     found = set(text.split())
-    # three or more one-letter parts in a row read as a word
-    if sum(len(p) == 1 for p in found) > 2:
-        found.update(_MARKS.sub("", m) for m in _APART.findall(text))
+    # three or more single letters in a row read as a word
+    found.update(_MARKS.sub("", m) for m in _APART.findall(text))
     return found
 
 

@@ -422,6 +422,13 @@ def test_toxicity(spark, odd, empty):
     assert toxicity.classify(empty, labels, training).collect() == []
 
 
+def test_letters_apart_read_as_a_word():
+    """Also with a letter twice, and with marks beside the letters."""
+    assert "odo" in toxicity.words_of("you o d o you")
+    assert "grob" in toxicity.words_of("you G. r, o. b! you")
+    assert toxicity.words_of("a b") == {"a", "b"}
+
+
 # ---- 9: mixing
 
 def brute_targets(sizes):
