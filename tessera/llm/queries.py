@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tessera.llm import kdtree, maxent, mixing, neardup, packing, quality, rollup, sequences, spotsigs, toxicity
+from tessera.llm import kdtree, maxent, mixing, neardup, packing, quality, rollup, sequences, setm, spotsigs, toxicity
 from tessera.llm.common import fold, table
 
 QUERIES: dict = {}
@@ -164,3 +164,45 @@ def op10(spark, sf_dir):
     held = fold(F.col("doc_id"), 4) == 2
     out = toxicity.classify(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "toxic"), ~held)
     return out.select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
+PHRASE_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents WHERE text IS NOT NULL
+), worded AS (
+  SELECT lang, w, len(w) AS m FROM (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces) WHERE len(w) > 0
+), totals AS (SELECT lang, sum(m)::HUGEINT AS n FROM worded GROUP BY lang
+), f AS (
+  SELECT lang, k, phrase, count(*)::HUGEINT AS a FROM (
+    SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase FROM (
+      SELECT lang, w, k, unnest(range(1, m - k + 2)) AS i FROM worded, range(1, 6) AS ks(k) WHERE m >= k))
+  GROUP BY lang, k, phrase HAVING count(*) >= 100
+), cuts AS (
+  SELECT lang, k, phrase, a, string_split(phrase, ' ') AS w, unnest(range(1, k)) AS cut FROM f WHERE k >= 2
+), scored AS (
+  SELECT c.lang, c.phrase, c.a, c.cut, l.a AS l, r.a AS r, t.n, (1000 * c.a * t.n) // (l.a * r.a) AS score
+  FROM cuts c JOIN totals t ON t.lang = c.lang
+  JOIN f l ON l.lang = c.lang AND l.k = c.cut AND l.phrase = array_to_string(c.w[1:c.cut], ' ')
+  JOIN f r ON r.lang = c.lang AND r.k = c.k - c.cut AND r.phrase = array_to_string(c.w[c.cut + 1:], ' ')
+), lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), inner_runs AS (
+  SELECT lang, array_to_string(w[i:i + len - 1], ' ') AS phrase, max(a) AS longer FROM (
+    SELECT lang, a, w, len, unnest(range(1, k - len + 2)) AS i FROM (
+      SELECT lang, a, k, string_split(phrase, ' ') AS w, unnest(range(2, k)) AS len FROM f WHERE k >= 3))
+  GROUP BY ALL
+), kept AS (
+  SELECT s.* FROM lowest s LEFT JOIN inner_runs i ON i.lang = s.lang AND i.phrase = s.phrase
+  WHERE i.longer IS NULL OR NOT (100 * i.longer >= 100 * s.a)
+)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept) WHERE rank <= 2000
+"""
+
+
+@query("op11_setm_collocations", PHRASE_SQL)
+def op11(spark, sf_dir):
+    """The first 2000 phrases of each language that occur 100 times or more, by score."""
+    return setm.collocations(table(spark, sf_dir, "documents", "lang", "text"))
