@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tessera.llm import kdtree, maxent, mixing, neardup, packing, quality, rollup, sequences, setm, spotsigs, toxicity
+from tessera.llm import kdtree, maxent, mixing, neardup, packing, quality, rollup, sequences, setm, spotsigs, toxicity, trie
 from tessera.llm.common import fold, table
 
 QUERIES: dict = {}
@@ -206,3 +206,51 @@ SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BI
 def op11(spark, sf_dir):
     """The first 2000 phrases of each language that occur 100 times or more, by score."""
     return setm.collocations(table(spark, sf_dir, "documents", "lang", "text"))
+
+
+TRIE_SQL = r"""
+WITH RECURSIVE crc_table AS (
+  SELECT list(list_reduce(list_concat([i::BIGINT], [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda c, b: xor(c >> 1, 3988292384 * (c & 1))) ORDER BY i) AS t
+  FROM range(0, 256) AS r(i)
+), ordered AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+      md5(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, ''))) AS at
+  FROM conversations WHERE conv_id IS NOT NULL
+), heads AS (
+  SELECT c, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(c::VARCHAR, ''), lambda d: ascii(d)::BIGINT)),
+    lambda s, d: xor(s >> 8, t[(xor(s, d) & 255) + 1])), 4294967295::BIGINT) % 6 AS h
+  FROM (SELECT DISTINCT c FROM ordered), crc_table
+), rebuilt AS (
+  SELECT h.c, o.at, o.role, o.text FROM heads h JOIN ordered o ON o.c = h.c - h.c % 100 AND o.at <= h.h
+  UNION ALL
+  SELECT h.c, o.at, o.role, o.text FROM heads h JOIN ordered o ON o.c = h.c AND o.at > h.h
+), sequences AS (
+  SELECT h.c, coalesce(list(md5(length(r.role)::VARCHAR || ':' || r.role || r.text) ORDER BY r.at) FILTER (WHERE r.c IS NOT NULL), []) AS s,
+    coalesce(list(length(r.text) ORDER BY r.at) FILTER (WHERE r.c IS NOT NULL), []) AS cps
+  FROM heads h LEFT JOIN rebuilt r ON r.c = h.c GROUP BY h.c
+), prefixes AS (
+  SELECT c, d, array_to_string(s[1:d], '') AS p, CASE WHEN d > 0 THEN array_to_string(s[1:d - 1], '') END AS up,
+    CASE WHEN d > 0 THEN cps[d] ELSE 0 END AS cp, len(s) = d AS ends
+  FROM (SELECT *, unnest(range(0, len(s) + 1)) AS d FROM sequences)
+), nodes AS (
+  SELECT p, any_value(up) AS up, d, min(c) AS conv_id, count(*) AS n, any_value(cp) AS cp,
+    sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE ends), '')) AS sha
+  FROM prefixes GROUP BY p, d
+), kids AS (SELECT up AS p, count(*) AS kids FROM nodes WHERE up IS NOT NULL GROUP BY up
+), weighed AS (
+  SELECT n.p, n.d, n.conv_id, coalesce(k.kids, 0) AS kids, (n.n - 1) * n.cp AS saved FROM nodes n LEFT JOIN kids k ON k.p = n.p
+), under AS (
+  SELECT left(p, 32 * a) AS p, sum((kids = 0)::BIGINT) AS leaves, sum(saved) AS saved
+  FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM weighed) GROUP BY 1
+)
+SELECT n.conv_id, n.d::BIGINT AS depth, u.conv_id AS parent_conv_id, n.n::BIGINT AS n_convs, coalesce(k.kids, 0)::BIGINT AS n_children,
+  t.leaves::BIGINT AS n_leaves, t.saved::BIGINT AS saved_tokens, n.sha AS ends_sha256
+FROM nodes n LEFT JOIN nodes u ON u.p = n.up LEFT JOIN kids k ON k.p = n.p JOIN under t ON t.p = n.p
+"""
+
+
+@query("op12_conversation_trie", TRIE_SQL)
+def op12(spark, sf_dir):
+    """A row for each distinct sequence of first turns of the conversations."""
+    return trie.conversation_trie(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))

@@ -8,7 +8,7 @@ the frequent groups and semi-joins the occurrences with them, which gives R_{k+1
 
 Relations are persisted sorted by place, in blocks: a block is a run of texts of one
 language, its places a bitmap (a gap stands between two pieces) and its phrases small codes
-of the block's own dictionary. Counting moves a block's distinct phrases, with their counts,
+of the block's own dictionary, all packed. Counting moves a block's distinct phrases, with their counts,
 to the part that their key hashes to; a phrase comes at most once from a block, so no key is
 hot, and a part tells each block which of its phrases are frequent. No list of phrases is
 broadcast and nothing is collected but the number of places.
@@ -30,6 +30,7 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -42,6 +43,26 @@ BLOCK_WORDS, SLICE = 1 << 21, 1 << 22
 #: Places that one part of the counting stands for, about.
 PART_PLACES = 1 << 22
 
+
+def pack(values: np.ndarray) -> bytes:
+    """Compressed bytes of an integer array: first all lowest bytes, then the next ones, and so on."""
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.dtype.itemsize).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def unpack(packed: bytes, kind) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8)
+    return np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).reshape(-1)
+
+
+def _steps(rising: np.ndarray) -> bytes:
+    return pack(np.diff(rising, prepend=0).astype(np.int32))
+
+
+def _unsteps(packed: bytes) -> np.ndarray:
+    return np.cumsum(unpack(packed, np.int32), dtype=np.int64)
+
+
 _CUT = re.compile(rb"[\x20\x09.,;:!?\x0A-\x0D]")
 _SIGNS = bytes(ord("\n") if chr(i) in ".,;:!?\n\x0b\x0c\r" else ord(" ") if chr(i) in " \t" else i for i in range(256))
 
@@ -95,7 +116,7 @@ def _read_blocks(limit: int):
             for lang, b in held.items():
                 codes = np.concatenate(b.codes)
                 counts = np.bincount(codes, minlength=len(b.dictionary)).astype(np.int64)
-                row = [next(number), lang, codes.tobytes(), b"\n".join(list(b.dictionary)[1:]), counts[1:].tobytes(), int(counts[1:].sum())]
+                row = [next(number), lang, pack(codes), b"\n".join(list(b.dictionary)[1:]), pack(counts[1:]), int(counts[1:].sum())]
                 yield pa.RecordBatch.from_arrays([pa.array([x], type=f.type) for x, f in zip(row, _BLOCKS, strict=True)], schema=_BLOCKS)
             held.clear()
 
@@ -126,12 +147,12 @@ def _ask_words(parts: int):
             for r in batch.to_pylist():
                 words = r["words"].split(b"\n") if r["words"] else []
                 part = np.fromiter((zlib.crc32(w) % parts for w in words), np.int64, len(words))
-                counts = np.frombuffer(r["counts"], np.int64)
+                counts = unpack(r["counts"], np.int64)
                 out = []
                 for p in np.unique(part).tolist():
                     at = np.flatnonzero(part == p)
-                    out.append({"part": p, "block": r["block"], "lang": r["lang"], "at": (at + 1).astype(np.int32).tobytes(),
-                                "left": b"\n".join([words[i] for i in at.tolist()]), "counts": counts[at].tobytes()})
+                    out.append({"part": p, "block": r["block"], "lang": r["lang"], "at": _steps(at + 1),
+                                "left": b"\n".join([words[i] for i in at.tolist()]), "counts": pack(counts[at])})
                 yield from _rows(out, _ASK)
 
     return run
@@ -143,7 +164,7 @@ def _count_words(least: int):
             rows = table.select(["part", "block", "lang", "at", "left", "counts"]).to_pylist()
             total: defaultdict = defaultdict(int)
             for r in rows:
-                for w, n in zip(r["left"].split(b"\n"), np.frombuffer(r["counts"], np.int64).tolist(), strict=True):
+                for w, n in zip(r["left"].split(b"\n"), unpack(r["counts"], np.int64).tolist(), strict=True):
                     total[r["lang"], w] += n
             ids = {key: (rows[0]["part"] << 40) + i for i, key in enumerate(k for k, n in total.items() if n >= least)}
             yield from _rows([{"kind": "frequent", "id": i, "lang": lang, "word": w.decode("utf-8", "replace"), "a": total[lang, w]}
@@ -151,16 +172,16 @@ def _count_words(least: int):
             for r in rows:
                 found = np.array([ids.get((r["lang"], w), -1) for w in r["left"].split(b"\n")], np.int64)
                 keep = found >= 0
-                yield from _rows([{"kind": "answer", "block": r["block"], "at": np.frombuffer(r["at"], np.int32)[keep].tobytes(),
-                                   "ids": found[keep].tobytes()}], _FOUND)
+                yield from _rows([{"kind": "answer", "block": r["block"], "at": _steps(_unsteps(r["at"])[keep]),
+                                   "ids": pack(found[keep])}], _FOUND)
 
     return run
 
 
 def _answers(rows: list[dict], size: int) -> tuple[np.ndarray, np.ndarray]:
     """New small code (or -1) of each old one, and the ids of the new codes."""
-    at = np.concatenate([np.frombuffer(r["at"], np.int32) for r in rows] or [np.zeros(0, np.int32)])
-    ids = np.concatenate([np.frombuffer(r["ids"], np.int64) for r in rows] or [np.zeros(0, np.int64)])
+    at = np.concatenate([_unsteps(r["at"]) for r in rows] or [np.zeros(0, np.int32)])
+    ids = np.concatenate([unpack(r["ids"], np.int64) for r in rows] or [np.zeros(0, np.int64)])
     new = np.full(size, -1, np.int32)
     new[at] = np.arange(len(at), dtype=np.int32)
     return new, ids
@@ -169,7 +190,7 @@ def _answers(rows: list[dict], size: int) -> tuple[np.ndarray, np.ndarray]:
 def _relation(block: int, lang: str, size: int, places: np.ndarray, codes: np.ndarray, ids: np.ndarray) -> dict:
     held = np.zeros(size, bool)
     held[places] = True
-    return {"block": block, "lang": lang, "size": size, "places": np.packbits(held).tobytes(), "codes": codes.astype(np.int32).tobytes(), "ids": ids.tobytes()}
+    return {"block": block, "lang": lang, "size": size, "places": pack(np.packbits(held)), "codes": pack(codes.astype(np.int32)), "ids": pack(ids)}
 
 
 _RELATION_SCHEMA = pa.schema([("block", pa.int64()), ("lang", pa.string()), ("size", pa.int64()), ("places", pa.binary()), ("codes", pa.binary()), ("ids", pa.binary())])
@@ -180,7 +201,7 @@ def _first_relation(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     for table in groups(batches, ["block"]):
         rows = table.to_pylist()
         own = next(r for r in rows if r["codes"] is not None)
-        codes = np.frombuffer(own["codes"], np.int32)
+        codes = unpack(own["codes"], np.int32)
         new, ids = _answers([r for r in rows if r["at"] is not None], int(codes.max(initial=0)) + 1)
         codes = new[codes]
         places = np.flatnonzero(codes >= 0)
@@ -189,8 +210,8 @@ def _first_relation(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 def _joined(r: dict) -> tuple:
     """R_k joined with itself by adjacent position: places, each one's group, the groups' ids and counts."""
-    places = np.flatnonzero(np.unpackbits(np.frombuffer(r["places"], np.uint8), count=r["size"]))
-    codes, ids = np.frombuffer(r["codes"], np.int32), np.frombuffer(r["ids"], np.int64)
+    places = np.flatnonzero(np.unpackbits(unpack(r["places"], np.uint8), count=r["size"]))
+    codes, ids = unpack(r["codes"], np.int32), unpack(r["ids"], np.int64)
     first = np.flatnonzero(places[1:] == places[:-1] + 1)
     keys = codes[first].astype(np.int64) * max(len(ids), 1) + codes[first + 1]
     keys, group, counts = np.unique(keys, return_inverse=True, return_counts=True)
@@ -208,8 +229,8 @@ def _ask_pairs(parts: int):
                 cuts = np.flatnonzero(np.diff(part[order], prepend=-1, append=-1)) if len(order) else []
                 for a, b in zip(cuts[:-1], cuts[1:], strict=True):
                     at = order[a:b]
-                    yield from _rows([{"part": int(part[at[0]]), "block": r["block"], "at": at.astype(np.int32).tobytes(), "left": left[at].tobytes(),
-                                       "right": right[at].tobytes(), "counts": counts[at].astype(np.int64).tobytes()}], _ASK)
+                    yield from _rows([{"part": int(part[at[0]]), "block": r["block"], "at": _steps(at), "left": pack(left[at]),
+                                       "right": pack(right[at]), "counts": pack(counts[at].astype(np.int64))}], _ASK)
 
     return run
 
@@ -218,8 +239,8 @@ def _count_pairs(least: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in groups(batches, ["part"]):
             part, blocks = table.column("part")[0].as_py(), table.column("block").to_pylist()
-            flat = lambda name, kind: [np.frombuffer(x, kind) for x in table.column(name).to_pylist()]
-            at, left, right, counts = flat("at", np.int32), np.concatenate(flat("left", np.int64)), np.concatenate(flat("right", np.int64)), np.concatenate(flat("counts", np.int64))
+            flat = lambda name, kind: [unpack(x, kind) for x in table.column(name).to_pylist()]
+            at, left, right, counts = [_unsteps(x) for x in table.column("at").to_pylist()], np.concatenate(flat("left", np.int64)), np.concatenate(flat("right", np.int64)), np.concatenate(flat("counts", np.int64))
             order = np.lexsort((right, left))
             new = np.ones(len(order), bool)
             new[1:] = (np.diff(left[order]) != 0) | (np.diff(right[order]) != 0)
@@ -238,7 +259,7 @@ def _count_pairs(least: int):
                 own = told[begin : begin + len(places)]
                 begin += len(places)
                 if (own >= 0).any():
-                    yield from _rows([{"kind": "answer", "block": block, "at": places[own >= 0].tobytes(), "ids": own[own >= 0].tobytes()}], _FOUND)
+                    yield from _rows([{"kind": "answer", "block": block, "at": _steps(places[own >= 0]), "ids": pack(own[own >= 0])}], _FOUND)
 
     return run
 
