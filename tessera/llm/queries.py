@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tessera.llm import kdtree, maxent, mixing, neardup, packing, quality, rollup, sequences, setm, spotsigs, toxicity, trie
+from tessera.llm import kdtree, maxent, mixing, neardup, packing, quality, repeats, rollup, sequences, setm, spotsigs, toxicity, trie
 from tessera.llm.common import fold, table
 
 QUERIES: dict = {}
@@ -254,3 +254,10 @@ FROM nodes n LEFT JOIN nodes u ON u.p = n.up LEFT JOIN kids k ON k.p = n.p JOIN
 def op12(spark, sf_dir):
     """A row for each distinct sequence of first turns of the conversations."""
     return trie.conversation_trie(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
+@query("op13_suffix_dedup")
+def op13(spark, sf_dir):
+    """All documents' bytes without those that a 100-byte string covers which also starts earlier."""
+    out = repeats.remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
