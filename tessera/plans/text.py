@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import text as T
 from tessera.functions.ordering import hash_uniform, rank_within
-from tessera.operators import classify
+from tessera.operators import classify, docvec
 from tessera.operators import text as ops
 from tessera.plans.registry import register
 from tessera.session import cut_lineage
@@ -413,3 +413,41 @@ def doc_vector_eval(spark, sf_dir):
     lr = classify.spark_logistic_regression(n).fit(tr.withColumn("label", F.col("label").cast("double")))
     pred = lr.transform(te).select(F.col("label").alias("truth"), F.col("prediction").cast("int").alias("pred"))
     return classify.binary_eval(pred, "truth", "pred")
+
+
+def _all_tokens(spark, sf_dir):
+    """``(doc_id, tokens)`` of every document with a token of length >= 3, labelled or not."""
+    d = tables.table(spark, sf_dir, "documents").select("doc_id", T.review_tokens(F.col("text")).alias("tokens"))
+    return cut_lineage(d.where("doc_id is not null and size(tokens) > 0"))
+
+
+def _held_out_quality(spark, sf_dir, method, vectors):
+    """Held-out evaluation of a logistic regression of the label on document vectors."""
+    from pyspark.ml.functions import array_to_vector
+
+    labelled = reviews(spark, sf_dir).select("doc_id", F.col("label").cast("double").alias("label"), "part")
+    rows = cut_lineage(vectors.join(labelled, "doc_id").select("label", "part", array_to_vector("vector").alias("features")))
+    train, test = _parts(rows)
+    model = classify.spark_logistic_regression(train.count()).setStandardization(True).fit(train)
+    pred = model.transform(test).select(F.col("label").cast("int").alias("truth"), F.col("prediction").cast("int").alias("pred"))
+    return classify.binary_eval(pred, "truth", "pred").select(F.lit(method).alias("method"), "*")
+
+
+def _mean_vectors(docs, words):
+    """Mean of a document's word vectors."""
+    long = docs.select("doc_id", F.explode("tokens").alias("word")).join(words, "word").select("doc_id", F.posexplode("vector").alias("k", "x"))
+    means = long.groupBy("doc_id", "k").agg(F.avg("x").alias("x"))
+    return means.groupBy("doc_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("k", "x"))), lambda t: t["x"]).alias("vector"))
+
+
+@register("paragraph_vector_eval")
+def paragraph_vector_eval(spark, sf_dir):
+    """Paragraph vectors of all documents (100 dimensions, window 10, 5 noise words, 5 passes), vectors
+    inferred against their frozen word vectors, and the mean of these: held-out label prediction
+    of each (model-valued: rows only)."""
+    docs = _all_tokens(spark, sf_dir)
+    vectors, words = (cut_lineage(x) for x in docvec.train(docs))
+    inferred = cut_lineage(docvec.infer(docs, words, 100))
+    out = _held_out_quality(spark, sf_dir, "trained", vectors)
+    out = out.unionByName(_held_out_quality(spark, sf_dir, "inferred", inferred))
+    return out.unionByName(_held_out_quality(spark, sf_dir, "mean of words", _mean_vectors(docs, words)))
