@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from tessera.functions.ordering import hash_uniform
 from tessera.functions.vectors import pearson
 from tessera.operators import vectors as V
+from tessera.operators.kernel import kernel_regression as kernel_regression_rows
 from tessera.plans.registry import register
+from tessera.session import cut_lineage
 from tessera.sources import tables
 
 M = 2147483647
@@ -238,7 +240,7 @@ def kernel_ols(spark, sf_dir):
     from pyspark.ml.regression import LinearRegression
 
     k = kernel_table(spark, sf_dir).withColumn("y", F.col("label").cast("double"))
-    k = k.withColumn("bucket", F.pmod(hash_uniform("vec_id", 17), F.lit(10))).persist()  # reused by every solver pass
+    k = cut_lineage(k.withColumn("bucket", F.pmod(hash_uniform("vec_id", 17), F.lit(10))))  # reused by every solver pass
     feats = VectorAssembler(inputCols=[f"pred_{h}" for h in HORIZONS], outputCol="features").transform(k)
     model = LinearRegression(solver="normal", regParam=0.0, labelCol="y").fit(feats.where(F.col("bucket") < 9))
     test = model.transform(feats.where(F.col("bucket") == 9))
@@ -249,6 +251,50 @@ def kernel_ols(spark, sf_dir):
     return rows.select("term", F.round("coefficient", 6).alias("coefficient"), F.round(mse, 6).alias("test_mse"))
 
 
+# ---- kernel regression over the training rows themselves ----------------------------------
+
+
+def _row_kernel_sql() -> str:
+    z = ", ".join(
+        f"list_transform(x[1:{h}], lambda a: CASE WHEN list_aggregate(x[1:{h}], 'var_pop') > 1e-24 THEN (a - list_aggregate(x[1:{h}], 'avg')) / sqrt({h} * list_aggregate(x[1:{h}], 'var_pop')) ELSE 0 END) AS z{h}"
+        for h in HORIZONS)
+    preds = ", ".join(f"ROUND(SUM(t.y * EXP(2 * list_inner_product(q.z{h}, t.z{h}))) / SUM(EXP(2 * list_inner_product(q.z{h}, t.z{h}))), 6) AS pred_{h}" for h in HORIZONS)
+    return f"""
+    WITH v AS (SELECT vec_id, CAST(label AS DOUBLE) AS y, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+    z AS (SELECT vec_id, y, {z} FROM v)
+    SELECT q.vec_id, ANY_VALUE(q.y) AS actual, {preds}
+    FROM z q, z t WHERE q.vec_id % 20 = 0 AND t.vec_id % 20 <> 0 GROUP BY q.vec_id
+    """
+
+
+def row_kernel_table(spark, sf_dir):
+    """``vec_id, actual, pred_<h>``: vectors with ids divisible by 20, each against all the others."""
+    e = tables.table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("x"), F.col("label").cast("double").alias("y"))
+    queries, training = e.where(F.col("vec_id") % 20 == 0), e.where(F.col("vec_id") % 20 != 0)
+    found = kernel_regression_rows(queries.select(F.col("vec_id").alias("id"), "x"), training.select("x", "y"), HORIZONS)
+    return queries.select("vec_id", F.col("y").alias("actual")).join(found.withColumnRenamed("id", "vec_id"), "vec_id")
+
+
+@register("kernel_regression_all_rows", _row_kernel_sql())
+def kernel_regression_all_rows(spark, sf_dir):
+    """Kernel regression over all training rows, three horizons, for each twentieth vector."""
+    k = row_kernel_table(spark, sf_dir)
+    return k.select("vec_id", "actual", *[F.round(f"pred_{h}", 6).alias(f"pred_{h}") for h in HORIZONS])
+
+
+@register("kernel_actual_predicted")
+def kernel_actual_predicted(spark, sf_dir):
+    """Actual against predicted values of the least squares on the three kernel predictions, fitted on
+    ids divisible by 40 and applied to the other queries (rows; a test compares with numpy)."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+
+    k = cut_lineage(row_kernel_table(spark, sf_dir))
+    feats = VectorAssembler(inputCols=[f"pred_{h}" for h in HORIZONS], outputCol="features").transform(k)
+    model = LinearRegression(solver="normal", regParam=0.0, labelCol="actual").fit(feats.where(F.col("vec_id") % 40 == 0))
+    return model.transform(feats.where(F.col("vec_id") % 40 != 0)).select("vec_id", "actual", F.col("prediction").alias("predicted"))
+
+
 # ---- analogy questions derived from the label groups -------------------------------------
 
 ANALOGY_SQL = """
