@@ -9,6 +9,7 @@ from tessera.plans.text import FEATURES_SQL, _features
 from tessera.session import cut_lineage
 from tessera.sources import tables
 from tessera.streaming import events as ev
+from tessera.streaming import keyed
 from tessera.streaming import sentiment as st
 
 
@@ -85,7 +86,7 @@ def stream_series(spark, sf_dir):
     """,
 )
 def stream_event_windows(spark, sf_dir):
-    """Daily event-time windows per event type through a watermarked stream."""
+    """Daily event-time windows per event type, in update mode without a watermark (a finite replay)."""
     out = ev.run_windowed_stream(spark, stream_of(spark, sf_dir, "events"))
     return ev.latest_windows(spark, out).select(
         "window_start", "window_end", "event_type", "n", F.round("total_value", 4).alias("total_value")
@@ -115,3 +116,25 @@ def stream_conversation_sentiment(spark, sf_dir):
     with the word lists learned from the labelled documents."""
     totals, _ = _run(spark, sf_dir, stream_of(spark, sf_dir, "conversations").select(F.col("text").alias("value")))
     return spark.read.parquet(totals).select("label", "count")
+
+
+@register("stream_keyed_totals", f"SELECT label, COUNT(*) AS count FROM ({TAGGED_SQL}) t GROUP BY label")
+def stream_keyed_totals(spark, sf_dir):
+    """Running counts of the labels held in keyed state, after the whole document stream."""
+    lists = cut_lineage(sentiment_lists(spark, sf_dir))
+    path = keyed.run_keyed_counts(spark, stream_of(spark, sf_dir, "documents").select(F.col("text").alias("value")), lists)
+    return keyed.latest_totals(spark, path)
+
+
+@register(
+    "stream_watermarked_windows",
+    """
+    SELECT epoch_us(time_bucket(INTERVAL 1 DAY, ts)) AS start_us, epoch_us(time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY) AS end_us, event_type, COUNT(*) AS n
+    FROM events GROUP BY ALL
+    """,
+)
+def stream_watermarked_windows(spark, sf_dir):
+    """Daily windows by a watermark of 2 days in append mode, late rows added back: all rows of events."""
+    table = tables.table(spark, sf_dir, "events")
+    closed = spark.read.parquet(keyed.run_closed_windows(spark, stream_of(spark, sf_dir, "events")))
+    return keyed.late_rows(closed, table).select("start_us", "end_us", "event_type", (F.col("on_time") + F.col("late")).alias("n"))
