@@ -12,6 +12,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.functions.joins import lookup_join
 from tessera.session import cut_lineage
 
 
@@ -82,9 +83,8 @@ def merge_close_categories(pivot: DataFrame, key: str, value: str, threshold: fl
 def apply_category_map(df: DataFrame, mapping: DataFrame, col: str) -> DataFrame:
     """Replace ``col`` by its merged label (categories absent from the map keep their value)."""
     m = mapping.select(F.col(col).alias("_from"), F.col("merged").alias("_to"))
-    return df.join(F.broadcast(m), F.col(col) == F.col("_from"), "left").withColumn(
-        col, F.coalesce("_to", col)
-    ).drop("_from", "_to")
+    joined = lookup_join(df.withColumn("_from", F.col(col)), m, "_from")  # broadcast only behind a count
+    return joined.withColumn(col, F.coalesce("_to", col)).drop("_from", "_to").select(*df.columns)
 
 
 def chi2_sf(x: float, k: float) -> float:

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from tessera.functions.ordering import hash_uniform, rank_within, with_global_position
@@ -269,6 +270,20 @@ def overdispersion(spark, sf_dir):
     )
 
 
+@register("overdispersion_test")
+def overdispersion_test(spark, sf_dir):
+    """The over-dispersion statistic of every trial size with its p-value: the upper tail of chi-squared
+    with n - 1 degrees of freedom (rows; a test holds the tail against known values)."""
+    from pyspark.sql.functions import pandas_udf
+
+    @pandas_udf("double")
+    def tail(statistic: pd.Series, df: pd.Series) -> pd.Series:
+        return pd.Series([None if pd.isna(x) or k < 1 else regress.chi2_sf(float(x), float(k)) for x, k in zip(statistic, df, strict=True)], dtype="float64")
+
+    o = overdispersion(spark, sf_dir)
+    return o.select("size", "n", "dispersion", "statistic", "df", tail("statistic", "df").alias("p_value"))
+
+
 NEG_CAP = 100
 
 

@@ -98,3 +98,19 @@ def test_top_x_hit_rate_matches_brute_force(spark):
         top = [i for i in ranked if i not in seen][: len(actual)]
         per.append(len(set(top) & actual) / len(actual))
     assert got == pytest.approx(sum(per) / len(per))
+
+
+def test_overdispersion_p_values(spark):
+    from conftest import SF_SMALL
+
+    from tessera.operators.regress import chi2_sf
+    from tessera.plans import QUERIES
+
+    # upper tails from published tables
+    for x, k, p in ((3.841, 1, 0.05), (18.307, 10, 0.05), (124.342, 100, 0.05), (6.635, 1, 0.01)):
+        assert abs(chi2_sf(x, k) - p) < 2e-4
+    rows = QUERIES["overdispersion_test"](spark, SF_SMALL).collect()
+    assert rows
+    for r in rows:
+        assert r.p_value is None or (0 <= r.p_value <= 1 and abs(r.p_value - chi2_sf(r.statistic, r.df)) < 1e-12)
+    assert any(r.p_value is not None for r in rows)
