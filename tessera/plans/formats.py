@@ -192,6 +192,20 @@ def io_fixed_width(spark, sf_dir):
     return files.read_fixed_width(spark, path, {"key": 0, "segment": 1, "name": 2})
 
 
+@register(
+    "io_fixed_width_blanks",
+    "SELECT CAST(p_partkey AS VARCHAR) AS key, CASE WHEN p_partkey % 7 <> 0 THEN p_brand END AS brand, p_name AS name, p_type AS type FROM part",
+)
+def io_fixed_width_blanks(spark, sf_dir):
+    """Columns at stated places; some fields are empty, others hold blanks."""
+    path = _folder(spark, "fixed")
+    brand = F.when(F.col("p_partkey") % 7 != 0, F.col("p_brand")).otherwise("")
+    p = tables.table(spark, sf_dir, "part").select(F.format_string("%12d%-20s%-60s%s", "p_partkey", brand, "p_name", "p_type").alias("value"))
+    files.write_lines(p, "value", path)
+    spans = [(0, 12), (12, 32), (32, 92), (92, 200)]
+    return files.read_fixed_width(spark, path, {"key": 0, "brand": 1, "name": 2, "type": 3}, spans)
+
+
 @register(
     "io_labelled_texts",
     f"""

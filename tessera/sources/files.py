@@ -11,7 +11,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -100,10 +100,38 @@ def read_line_corpus(spark: SparkSession, path: str, tag_prefix: str | None = No
     return out
 
 
-def read_fixed_width(spark: SparkSession, path: str, fields: dict[str, int]) -> DataFrame:
-    """Whitespace-aligned columns picked by position: ``{name: column index}``."""
-    toks = spark.read.text(path).select(F.split(F.trim("value"), WS).alias("p"))
-    return toks.select(*[F.col("p")[i].alias(name) for name, i in fields.items()])
+def fixed_width_spans(spark: SparkSession, path: str) -> list[tuple[int, int]]:
+    """Begin and end of each column: runs of positions that hold a character in any line.
+
+    All lines count; what comes to the driver is at most one number a position of a line.
+    """
+    lines = spark.read.text(path).where(F.length("value") > 0)
+    filled = F.expr("filter(sequence(1, length(value)), i -> substring(value, i, 1) not in (' ', '\t'))")
+    places = sorted(r.at for r in lines.select(F.explode(filled).alias("at")).distinct().collect())
+    spans: list[tuple[int, int]] = []
+    for at in places:
+        if spans and spans[-1][1] == at - 1:
+            spans[-1] = (spans[-1][0], at)
+        else:
+            spans.append((at - 1, at))
+    return spans
+
+
+def read_fixed_width(spark: SparkSession, path: str, fields: dict[str, int], spans: list[tuple[int, int]] | None = None) -> DataFrame:
+    """Columns by their places in the line: ``{name: column index}``. ``spans`` gives each column's begin
+    and end (from 0, end exclusive), else they are found from the lines. A blank inside a field stays,
+    an empty field is null and shifts nothing; empty lines are left out."""
+    spans = spans if spans is not None else fixed_width_spans(spark, path)
+    lines = spark.read.text(path).where(F.trim("value") != "")
+
+    def field(i: int) -> Column:
+        if i >= len(spans):
+            return F.lit(None).cast("string")
+        begin, end = spans[i]
+        text = F.trim(F.substring("value", begin + 1, end - begin))
+        return F.when(text != "", text)
+
+    return lines.select(*[field(i).alias(name) for name, i in fields.items()])
 
 
 def list_files(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:

@@ -194,3 +194,17 @@ def test_analogies_in_blocks_equal_brute_force(spark):
         want[i] = min(k for k in unit if k not in (a, b, c) and float(unit[k] @ t) >= best - 1e-12)
     assert got == want
     assert analogy_predictions(v, q.where("qid > 99")).count() == 0
+
+
+def test_fixed_width_by_position(spark, tmp_path):
+    from tessera.sources import files
+
+    rows = ["  1  one two   x", " 12  three     ", "", "123            y z", "  4  a b"]
+    (tmp_path / "f.txt").write_text("\n".join(rows) + "\n")
+    path = str(tmp_path / "f.txt")
+    got = files.read_fixed_width(spark, path, {"k": 0, "v": 1, "w": 2, "none": 9}, [(0, 4), (5, 14), (14, 20)])
+    assert sorted(tuple(r) for r in got.collect()) == sorted([("1", "one two", "x", None), ("12", "three", None, None), ("123", None, "y z", None), ("4", "a b", None, None)], key=str)
+    # positions filled in any line make the columns: a blank that all lines share divides
+    assert files.fixed_width_spans(spark, path) == [(0, 3), (5, 12), (15, 16), (17, 18)]
+    found = files.read_fixed_width(spark, path, {"k": 0})
+    assert sorted(r.k for r in found.collect()) == ["1", "12", "123", "4"]
