@@ -181,7 +181,7 @@ def glm_nested_test(spark, sf_dir):
 # ---- gradient descent ------------------------------------------------------------------
 
 GD_FEATURES = ["intercept", "l_quantity", "l_discount", "l_tax"]
-GD_EPOCHS, GD_LR, GD_ALPHA, GD_TOL = 50, 0.025, 0.001, 0.01
+GD_EPOCHS, GD_LR, GD_ALPHA, GD_TOL = 1000, 0.025, 0.001, 0.01
 SPLIT_SQL = f"((((l_orderkey % {M}) * 1103515245 + (l_linenumber % {M}) * 12345 + 29 * 12347) % {M}) % 10)"
 
 

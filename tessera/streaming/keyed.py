@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tessera.functions.joins import fits_broadcast
+from tessera.streaming.events import AS_UTC
 from tessera.streaming.sentiment import stream_folder, tag_tokens
 
 
@@ -69,9 +70,7 @@ def latest_totals(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _windows(events: DataFrame, width: str, watermark: str | None) -> DataFrame:
-    # an NTZ value read as UTC, whatever the session's zone
-    micros = F.timestamp_micros(F.expr("timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', ts)"))
-    timed = events.withColumn("ets", micros)
+    timed = events.withColumn("ets", F.expr(AS_UTC))
     if watermark:
         timed = timed.withWatermark("ets", watermark)
     return timed.groupBy(F.window("ets", width).alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n")).select(

@@ -54,3 +54,18 @@ def test_on_time_and_late_rows_are_all_rows(spark, tmp_path):
     assert got[9, "a"] == ("closed", 1, 0)
     # the watermark passed a batch before the fourth file came: three of its rows are late
     assert {k: v for k, v in got.items() if v[2]} == {(1, "a"): ("closed", 1, 1), (2, "b"): ("closed", 1, 1), (3, "c"): ("closed", 0, 1)}
+
+
+def test_windows_are_utc_days_in_any_session_zone(spark):
+    from tessera.streaming.events import windowed_counts
+
+    rows = [(dt.datetime(2024, m, d, h), "a", 1.0) for m in (1, 3, 7, 11) for d in (3, 10, 11) for h in (0, 2, 23)]
+    previous = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        events = spark.createDataFrame(rows, "ts timestamp_ntz, event_type string, value double")
+        got = windowed_counts(events).selectExpr("cast(window_start as string) s", "cast(window_end as string) e", "n").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", previous)
+    want = {(str(dt.datetime(2024, m, d)), str(dt.datetime(2024, m, d) + dt.timedelta(days=1)), 3) for m in (1, 3, 7, 11) for d in (3, 10, 11)}
+    assert {tuple(r) for r in got} == want
