@@ -1,17 +1,22 @@
 """Language-model scoring by a hashed maximum-entropy model with a class-factored softmax.
 
-P(word | history) = P(class | history) * P(word | class). A word's class follows from its
-last bytes: the CLASSES heaviest three-byte endings have classes of their own, the others
-share by last byte. The class softmax sums learned weights of hashed n-gram and skip
-features of the history (previous word, previous two classes, the word before the last,
-the class three back); inside a class words have their smoothed corpus frequency. With all
-weights zero the model is the unigram model.
+A word is a path of four choices among eight: two name its class, which follows from its last
+bytes (the ENDINGS heaviest three-byte endings have classes of their own, the others share by
+last byte), two name its cell, one of 64 in the class, by its hash. Each choice is a softmax
+over the sum of weights of four features of the history: the previous word and the previous
+two classes (n-grams), the word before the last and the class three back (skips). Weights lie
+in a table addressed by a hash of feature and path so far, so P(class | history) and
+P(cell | class, history) are both learned. Inside a cell words have their smoothed corpus
+frequency. With all weights zero a score is the unigram model's.
 
 Counts cover every training token: tasks count hashed words, a shuffle adds them up.
-Training is distributed: every task takes AdaGrad steps on its own documents, and rows of
-weights are averaged over tasks in proportion to the tokens that used them. Scoring runs in
-numpy batches. Frequent words (at most HEAD, of fixed size when broadcast) are looked up in
-the task; all others meet their counts in a join, so no vocabulary has to fit a task.
+Training is distributed and synchronised: the documents are dealt to ROUNDS shares by a hash
+of their text; in a round every task sums the gradients (seen less expected counts) of the
+share's tokens under the same weights, the sums are added up over tasks by blocks of the
+table, and one step is taken, each weight's as long as its own counts allow. So every training
+token is used once and the scores do not depend on the file layout, but for rounding. Scoring
+runs in numpy batches. Frequent words (at most HEAD, of fixed size when broadcast) are looked
+up in the task; all others meet their counts in a join, so no vocabulary has to fit a task.
 
 Defined results: null and empty texts are an end token alone; null ids count as empty text
 for the folds; repeated rows are rows; without training tokens all counts are 0; an empty
@@ -20,7 +25,7 @@ table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,18 +33,26 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Words, chunks, text_bytes
+from tessera.llm.common import Words, chunks, mix, text_bytes
 from tessera.session import cut_lineage
 
 CLASSES, ENDINGS = 64, 41
-#: Weight rows of the four features: previous word, class pair, class three back, word two back.
-WORD_ROWS, SKIP_ROWS = 1 << 14, 1 << 12
-ROWS = WORD_ROWS + CLASSES * CLASSES + CLASSES + SKIP_ROWS
+#: A path: LEVELS choices among WAYS; CELLS leaves in all, and the first node of each level.
+LEVELS, WAYS, CELLS, BITS = 4, 8, 4096, 3
+FIRST_NODE = (0, 1, 9, 73)
+NODES = 585
+#: Rows of the weight table (WAYS weights each), rows of a block when tasks' sums are added.
+ROW_BITS, BLOCK = 17, 1024
+ROWS = 1 << ROW_BITS
+FEATURES = 4
 #: Words looked up inside the tasks, and slots of their table (16 bytes each).
 HEAD, SLOTS = 1 << 18, 1 << 20
-BATCH, RATE = 8192, 0.5
+#: Tokens handled at once; shares of the training documents; step length; counts that a weight
+#: must outweigh before its step is a full one.
+BATCH, ROUNDS, RATE, PRIOR = 1 << 15, 4, 0.4, 8.0
 #: The end token's hash; its class is 0 and no word has it.
 END = 1
+_NODE, _ROW = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
 def _endings(w: Words) -> np.ndarray:
@@ -94,8 +107,10 @@ class Tokens:
         self.first = w.first + np.arange(len(texts) + 1)
         self.doc = np.repeat(np.arange(len(texts)), np.diff(self.first))
 
-    def features(self) -> np.ndarray:
-        """The four weight rows of every token's history; history ends at the text's start."""
+        self.leaf = leaf_of(self.cls, self.hash)
+
+    def histories(self) -> np.ndarray:
+        """A mixed key a feature of every token's history; history ends at the text's start."""
         def back(x, n, empty):
             out = np.full(len(x), empty, x.dtype)
             out[n:] = x[:-n]
@@ -103,79 +118,133 @@ class Tokens:
             out[since < n] = empty
             return out
 
-        one, two = back(self.hash, 1, END), back(self.hash, 2, END)
         c1, c2, c3 = (back(self.cls, n, 0) for n in (1, 2, 3))
-        pairs = WORD_ROWS + CLASSES * CLASSES
-        return np.stack([one & (WORD_ROWS - 1), WORD_ROWS + c1 * CLASSES + c2, pairs + c3, pairs + CLASSES + (two & (SKIP_ROWS - 1))])
-
-
-def _softmax(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    z = weights[rows[0]]
-    for r in rows[1:]:
-        z += weights[r]
-    z += bias
-    z -= z.max(axis=1, keepdims=True)
-    np.exp(z, out=z)
-    z /= z.sum(axis=1, keepdims=True)
+        parts = back(self.hash, 1, END), c1 * CLASSES + c2, back(self.hash, 2, END), c3
+        return np.stack([mix(x.astype(np.int64).view(np.uint64) * np.uint64(FEATURES) + np.uint64(i)) for i, x in enumerate(parts)])
+
+
+def leaf_of(cls: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Leaves of words: the class, then six bits of the hash."""
+    return cls.astype(np.int64) * (CELLS // CLASSES) + ((hashes >> 20) & (CELLS // CLASSES - 1))
+
+
+def biases(mass: np.ndarray) -> np.ndarray:
+    """Every node's log shares (NODES x WAYS) of its choices, from the leaves' masses."""
+    levels = [mass.reshape(-1, CELLS >> BITS * (level + 1)).sum(axis=1).reshape(-1, WAYS) for level in range(LEVELS)]
+    return np.concatenate([np.log(m / m.sum(axis=1, keepdims=True)) for m in levels]).astype(np.float32)
+
+
+def choices(leaf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes on the way to the leaves and what is chosen there (LEVELS x tokens each)."""
+    node = np.stack([FIRST_NODE[i] + (leaf >> BITS * (LEVELS - i)) for i in range(LEVELS)])
+    return node, np.stack([(leaf >> BITS * (LEVELS - 1 - i)) & (WAYS - 1) for i in range(LEVELS)])
+
+
+def _rows(history: np.ndarray, node: np.ndarray) -> np.ndarray:
+    """Rows of the table (FEATURES x LEVELS*tokens): one a feature and a choice."""
+    key = history[:, None, :] + (node.astype(np.uint64) * _NODE)[None]
+    return ((key * _ROW) >> np.uint64(64 - ROW_BITS)).astype(np.int32).reshape(FEATURES, -1)
+
+
+def _sums(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray, node: np.ndarray) -> np.ndarray:
+    """Sums of weights of each choice. A weight is at most 2 * RATE * ROUNDS, so their
+    exponentials do not overflow."""
+    z = bias.take(node.ravel(), axis=0)
+    for r in rows:
+        z += weights.take(r, axis=0)
     return z
 
 
-def train(docs: DataFrame, endings: np.ndarray, bias: np.ndarray) -> np.ndarray:
-    """The weights (ROWS x CLASSES): averages of what the tasks learn from their documents."""
-    schema = pa.schema([("row", pa.int32()), ("n", pa.float64()), ("w", pa.binary())])
+def _across(x: np.ndarray) -> np.ndarray:
+    """Row sums of WAYS columns, by halves: a matrix product would start threads in every task."""
+    while x.shape[1] > 1:
+        x = x[:, 0::2] + x[:, 1::2]
+    return x[:, 0]
 
-    def steps(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = np.zeros((ROWS, CLASSES), np.float32)
-        speed, used = np.full(ROWS, 1e-3, np.float32), np.zeros(ROWS)
-        for batch in batches:
-            texts = text_bytes(batch)
-            for a, b in chunks(texts):
-                t = Tokens(texts[a:b], endings)
-                rows = t.features()
-                for s in range(0, len(t.cls), BATCH):
-                    some, y = rows[:, s : s + BATCH], t.cls[s : s + BATCH]
-                    g = _softmax(weights, bias, some)
-                    g[np.arange(len(y)), y] -= 1
-                    for r in some:
-                        order = np.argsort(r, kind="stable")
-                        ordered = r[order]
-                        starts = np.flatnonzero(np.diff(ordered, prepend=-1))
-                        total = np.add.reduceat(g[order], starts, axis=0)
-                        own = ordered[starts]
-                        used[own] += np.diff(starts, append=len(r))
-                        speed[own] += (total * total).mean(axis=1)
-                        weights[own] -= RATE * total / np.sqrt(speed[own])[:, None] * 0.25
-        own = np.flatnonzero(used)
-        if len(own):
-            yield pa.RecordBatch.from_arrays([
-                pa.array(own, pa.int32()), pa.array(used[own]), pa.array([(weights[r] * np.float32(used[r])).tobytes() for r in own], pa.binary())], schema=schema)
-
-    def average(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, list] = {}  # at most ROWS entries
+
+def gradients(weights: np.ndarray, bias: np.ndarray, history: np.ndarray, leaf: np.ndarray, total: np.ndarray) -> None:
+    """Adds the tokens' seen counts (``total[0]``) and expected counts (``total[1]``), WAYS x ROWS each."""
+    node, chosen = choices(leaf)
+    rows = _rows(history, node)
+    p = np.exp(_sums(weights, bias, rows, node))
+    share = np.ascontiguousarray((p / _across(p)[:, None]).T, np.float64)
+    flat = rows.ravel().astype(np.int64)
+    total[0] += np.bincount(np.tile(chosen.ravel() * ROWS, FEATURES) + flat, minlength=WAYS * ROWS).reshape(WAYS, ROWS)
+    for way in range(WAYS):
+        total[1, way] += np.bincount(flat, np.tile(share[way], FEATURES), ROWS)
+
+
+def step(weights: np.ndarray, seen: np.ndarray, expected: np.ndarray) -> np.ndarray:
+    """The weights after one step along the gradient, scaled by each weight's own counts."""
+    return (weights + RATE * (seen - expected) / ((seen + expected) / 2 + PRIOR)).astype(np.float32)
+
+
+def log_paths(weights: np.ndarray, bias: np.ndarray, history: np.ndarray, leaf: np.ndarray) -> np.ndarray:
+    """log10 P(leaf | history) of every token."""
+    node, chosen = choices(leaf)
+    z = _sums(weights, bias, _rows(history, node), node)
+    picked = z[np.arange(len(z)), chosen.ravel()] - np.log(_across(np.exp(z)))
+    return picked.reshape(LEVELS, -1).astype(np.float64).sum(axis=0) / np.log(10)
+
+
+def train(docs: DataFrame, endings: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """The weights (ROWS x WAYS) after ROUNDS synchronised steps over the documents' shares."""
+    sc = docs.sparkSession.sparkContext
+    weights = np.zeros((ROWS, WAYS), np.float32)
+    schema = pa.schema([("block", pa.int32()), ("sums", pa.binary())])
+    # A round reads a share of the documents: as many fewer tasks keep the sums to one table a full task.
+    tasks = max(sc.defaultParallelism, docs.rdd.getNumPartitions() // ROUNDS)
+
+    def blocks(total: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for i in range(0, ROWS, BLOCK):
+            part = total[:, :, i : i + BLOCK]
+            if part[0].any():
+                yield pa.RecordBatch.from_arrays([pa.array([i // BLOCK], pa.int32()), pa.array([part.astype(np.float32).tobytes()], pa.binary())], schema=schema)
+
+    def add_up(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}  # at most ROWS / BLOCK entries
         for batch in batches:
-            for row, n, w in zip(*(batch.column(c).to_pylist() for c in ("row", "n", "w")), strict=True):
-                at = total.setdefault(row, [0.0, np.zeros(CLASSES)])
-                at[0] += n
-                at[1] += np.frombuffer(w, np.float32)
-        if total:
-            own = sorted(total)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(own, pa.int32()), pa.array([total[r][0] for r in own]),
-                pa.array([(total[r][1] / total[r][0]).astype(np.float32).tobytes() for r in own], pa.binary())], schema=schema)
-
-    types = "row int, n double, w binary"
-    learned = docs.select("text").mapInArrow(steps, types).repartition("row").mapInArrow(average, types)
-    weights = np.zeros((ROWS, CLASSES), np.float32)
-    for r in learned.collect():  # at most ROWS rows of 256 bytes, whatever the corpus
-        weights[r["row"]] = np.frombuffer(r["w"], np.float32)
+            for block, raw in zip(batch.column("block").to_pylist(), batch.column("sums").to_pylist(), strict=True):
+                sums[block] = sums.get(block, 0.0) + np.frombuffer(raw, np.float32).astype(np.float64)
+        for block, x in sorted(sums.items()):
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([x.astype(np.float32).tobytes()], pa.binary())], schema=schema)
+
+    def sums_under(model) -> Callable:
+        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            weights, bias, endings = model.value
+            total = np.zeros((2, WAYS, ROWS))
+            for batch in batches:
+                texts = text_bytes(batch)
+                for a, b in chunks(texts):
+                    t = Tokens(texts[a:b], endings)
+                    history = t.histories()
+                    for s in range(0, len(t.leaf), BATCH):
+                        gradients(weights, bias, history[:, s : s + BATCH], t.leaf[s : s + BATCH], total)
+            yield from blocks(total)
+
+        return run
+
+    share = F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(ROUNDS))
+    for i in range(ROUNDS):
+        model = sc.broadcast((weights, bias, endings))  # 4 MB, whatever the corpus
+        summed = (
+            docs.where(share == i).select("text").coalesce(tasks).mapInArrow(sums_under(model), "block int, sums binary")
+            .repartition("block").mapInArrow(add_up, "block int, sums binary"))
+        seen, expected = np.zeros((ROWS, WAYS)), np.zeros((ROWS, WAYS))
+        for r in summed.collect():  # at most ROWS / BLOCK blocks of 64 KB
+            part = np.frombuffer(r["sums"], np.float32).reshape(2, WAYS, BLOCK)
+            at = slice(r["block"] * BLOCK, (r["block"] + 1) * BLOCK)
+            seen[at], expected[at] = part[0].T, part[1].T
+        weights = step(weights, seen, expected)
+        model.unpersist()
     return weights
 
 
-def _head(rows: list) -> tuple[np.ndarray, np.ndarray]:
+def _head(words: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """A direct-addressed table of frequent words; of two words with one slot the more frequent stays."""
     keys, c = np.zeros(SLOTS, np.int64), np.zeros(SLOTS, np.int64)
-    for r in reversed(rows):
-        keys[r["h"] & (SLOTS - 1)], c[r["h"] & (SLOTS - 1)] = r["h"], r["c"]
+    h, n = (words.column(x).to_numpy()[::-1] for x in ("h", "c"))
+    keys[h & (SLOTS - 1)], c[h & (SLOTS - 1)] = h, n
     return keys, c
 
 
@@ -190,18 +259,20 @@ def score(docs: DataFrame, training: Column) -> DataFrame:
     endings = np.array(sorted(r["ending"] for r in heavy.collect()), np.int32)
 
     def masses(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mass = np.zeros(CLASSES)
+        mass = np.zeros(CELLS)
         for batch in batches:
             code = batch.column("ending").to_numpy()
-            mass += np.bincount(np.where(code < 0, 0, class_of(code, endings)), batch.column("c").to_numpy() + 1.0, CLASSES)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(CLASSES), pa.int32()), pa.array(mass)], names=["cls", "mass"])
-
-    mass = np.ones(CLASSES)  # the one is for words that training does not know
-    for r in known.select("ending", "c").mapInArrow(masses, "cls int, mass double").groupBy("cls").agg(F.sum("mass").alias("mass")).collect():
-        mass[r["cls"]] += r["mass"]
-    bias = np.log(mass / mass.sum()).astype(np.float32)
+            leaf = leaf_of(np.where(code < 0, 0, class_of(code, endings)), batch.column("h").to_numpy())
+            mass += np.bincount(leaf, batch.column("c").to_numpy() + 1.0, CELLS)
+        own = np.flatnonzero(mass)
+        yield pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), pa.array(mass[own])], names=["leaf", "mass"])
+
+    mass = np.full(CELLS, 1 / CELLS)  # one in all, for a word that training does not know
+    for r in known.mapInArrow(masses, "leaf int, mass double").groupBy("leaf").agg(F.sum("mass").alias("mass")).collect():
+        mass[r["leaf"]] += r["mass"]
+    bias = biases(mass)
     model = sc.broadcast((train(texts.where(training), endings, bias), bias, endings, np.log10(mass)))
-    head = sc.broadcast(_head(known.orderBy(F.desc("c"), "h").limit(HEAD).collect()))
+    head = sc.broadcast(_head(known.select("h", "c").orderBy(F.desc("c"), "h").limit(HEAD).toArrow()))
     schema = pa.schema([
         ("row", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
         ("logs", pa.float64()), ("model", pa.float64()), ("tail", pa.binary()), ("times", pa.binary())])
@@ -214,11 +285,10 @@ def score(docs: DataFrame, training: Column) -> DataFrame:
             texts, ids = text_bytes(batch), batch.column("doc_id")
             for a, b in chunks(texts):
                 t, n = Tokens(texts[a:b], endings), b - a
-                rows, value = t.features(), np.empty(len(t.cls))
-                for s in range(0, len(t.cls), BATCH):
-                    y = t.cls[s : s + BATCH]
-                    p = _softmax(weights, bias, rows[:, s : s + BATCH])[np.arange(len(y)), y]
-                    value[s : s + BATCH] = np.log10(np.maximum(p, 1e-30)) - log_mass[y]
+                history, value = t.histories(), np.empty(len(t.leaf))
+                for s in range(0, len(t.leaf), BATCH):
+                    leaf = t.leaf[s : s + BATCH]
+                    value[s : s + BATCH] = log_paths(weights, bias, history[:, s : s + BATCH], leaf) - log_mass[leaf]
                 slot = t.hash & (SLOTS - 1)
                 hit = (keys[slot] == t.hash) & (c[slot] > 0)
                 tails = []

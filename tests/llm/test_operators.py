@@ -10,6 +10,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -206,6 +207,98 @@ def test_language_model(odd, odd_rows, empty):
     assert maxent.score(empty, F.lit(True)).collect() == []
 
 
+def brute_language_scores(rows, held):
+    """Scores token by token and choice by choice, with lists and dicts alone."""
+    mask = (1 << 64) - 1
+
+    def mixed(h):
+        for shift, factor in ((33, 0xFF51AFD7ED558CCD), (33, 0xC4CEB9FE1A85EC53)):
+            h = ((h ^ (h >> shift)) * factor) & mask
+        return h ^ (h >> 33)
+
+    def ending(w):
+        return int.from_bytes(w[-3:], "big")
+
+    tokens = {i: [*(w.encode() if isinstance(w, str) else w for w in words(t)), None] for i, t in rows}
+    c = Counter(w for i, _ in rows if i not in held for w in tokens[i])
+    heavy = Counter()
+    for w, n in c.items():
+        if w is not None:
+            heavy[ending(w)] += n
+    endings = sorted(sorted(heavy, key=lambda e: (-heavy[e], e))[:41])
+
+    def number(w):
+        return 1 if w is None else int(common.Words([w]).hash[0])
+
+    def kind(w):
+        if w is None:
+            return 0
+        return 1 + endings.index(ending(w)) if ending(w) in endings else 42 + w[-1] % 22
+
+    def path(w):
+        leaf = kind(w) * 64 + ((number(w) >> 20) & 63)
+        digits = [(leaf >> 9) & 7, (leaf >> 6) & 7, (leaf >> 3) & 7, leaf & 7]
+        nodes = [0, 1 + digits[0], 9 + digits[0] * 8 + digits[1], 73 + digits[0] * 64 + digits[1] * 8 + digits[2]]
+        return leaf, list(zip(nodes, digits, strict=True))
+
+    mass = {leaf: 1 / 4096 for leaf in range(4096)}
+    for w, n in c.items():
+        mass[path(w)[0]] += n + 1
+    share = {}
+    for first, depth in ((0, 0), (1, 1), (9, 2), (73, 3)):
+        for node in range(8**depth):
+            size = 8 ** (3 - depth)
+            below = [sum(mass[(node * 8 + d) * size + j] for j in range(size)) for d in range(8)]
+            share[first + node] = [math.log(x / sum(below)) for x in below]
+    weights = {}
+
+    def look(seq, at):
+        """(rows of the weight table, node, digit) of every choice of the token."""
+        before = [seq[at - k] if at >= k else None for k in (1, 2, 3)]
+        parts = [number(before[0]), kind(before[0]) * 64 + kind(before[1]), number(before[1]), kind(before[2])]
+        keys = [mixed((x * 4 + f) & mask) for f, x in enumerate(parts)]
+        for node, digit in path(seq[at])[1]:
+            found = [(((k + node * 0x9E3779B97F4A7C15) & mask) * 0xD6E8FEB86659FD93 & mask) >> 47 for k in keys]
+            z = [share[node][d] + sum(weights.get((r, d), 0.0) for r in found) for d in range(8)]
+            total = math.log(sum(map(math.exp, z)))
+            yield found, digit, [x - total for x in z]
+
+    for turn in range(4):
+        seen, expected = Counter(), Counter()
+        for i, t in rows:
+            signed = xxhash.xxh64_intdigest((t or "").encode(), seed=42)
+            if i in held or (signed - (signed >> 63 << 64)) % 4 != turn:
+                continue
+            for at in range(len(tokens[i])):
+                for found, digit, logs in look(tokens[i], at):
+                    for r in found:
+                        seen[r, digit] += 1
+                        for d in range(8):
+                            expected[r, d] += math.exp(logs[d])
+        for k in expected:
+            weights[k] = weights.get(k, 0.0) + 0.4 * (seen[k] - expected[k]) / ((seen[k] + expected[k]) / 2 + 8)
+    return {i: sum(logs[digit] / math.log(10) for at in range(len(seq)) for _, digit, logs in look(seq, at))
+            + sum(math.log10((c[w] + 1) / mass[path(w)[0]]) for w in seq) for i, seq in tokens.items()}
+
+
+def test_language_model_scores_against_a_plain_twin_at_any_layout(spark):
+    rng = random.Random(4)
+    vocabulary = ["the", "cat", "sat", "on", "a", "mat", "running", "walking", "É", "x"]
+    rows = [(i, " ".join(rng.choices(vocabulary, range(10, 0, -1), k=rng.randrange(1, 25)))) for i in range(60)]
+    rows += [(60, None), (61, ""), (62, "unseen words only"), (63, rows[0][1])]
+    held = {62, *range(0, 60, 7)}
+    want = brute_language_scores(rows, held)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for parts in (1, 16):
+        got = {r.doc_id: r.score for r in maxent.score(docs.repartition(parts), ~F.col("doc_id").isin(*held)).collect()}
+        assert got == pytest.approx(want, abs=1e-3)
+
+
+def test_language_model_without_training_tokens_is_the_base(odd):
+    for r in maxent.score(odd, F.lit(False)).collect():
+        assert r.train_tokens == 0 and r.score == pytest.approx(r.base_score, abs=1e-4 * r.n_tokens)
+
+
 def test_language_model_rare_words_meet_their_counts(odd, monkeypatch):
     """The join of rare words gives what the table of frequent words gives."""
     key = lambda df: sorted((r.doc_id or -1, r.n_tokens, r.n_known, round(r.base_score, 6)) for r in df.collect())
