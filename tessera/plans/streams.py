@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tessera.plans.registry import register
 from tessera.plans.text import FEATURES_SQL, _features
 from tessera.session import cut_lineage
-from tessera.sources import tables
+from tessera.sources import tables, topic
 from tessera.streaming import events as ev
 from tessera.streaming import keyed
 from tessera.streaming import sentiment as st
@@ -138,3 +138,23 @@ def stream_watermarked_windows(spark, sf_dir):
     table = tables.table(spark, sf_dir, "events")
     closed = spark.read.parquet(keyed.run_closed_windows(spark, stream_of(spark, sf_dir, "events")))
     return keyed.late_rows(closed, table).select("start_us", "end_us", "event_type", (F.col("on_time") + F.col("late")).alias("n"))
+
+
+@register(
+    "stream_topic_replay",
+    """
+    SELECT ROW_NUMBER() OVER (ORDER BY conv_id NULLS FIRST, turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) - 1 AS "offset",
+           conv_id, turn, role, text FROM conversations
+    """,
+)
+def stream_topic_replay(spark, sf_dir):
+    """All conversations published to a topic, then read by offsets in two runs of one stream: up
+    to the middle of the log, and from there, after a restart, to its end."""
+    table = tables.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    messages = table.select(*table.columns, F.col("conv_id").alias("key"), F.to_json(F.struct(*table.columns)).alias("value"))
+    base = st.stream_folder(spark, "topic")
+    end = topic.publish(messages, f"{base}/log", table.columns)
+    for last in (end // 2, end):
+        out = topic.copy_available(topic.read_stream(spark, f"{base}/log", endingOffset=last), f"{base}/copy")
+    rows = spark.read.schema("offset long, key string, value string, batch_id long").parquet(out)
+    return rows.select("offset", F.from_json("value", table.schema).alias("m")).select("offset", "m.*")

@@ -10,6 +10,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,6 +64,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or folder
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give executors this package's code by Spark's own file distribution, once a session.
+
+    Operators whose functions run in Python workers call it; nothing has to be installed there.
+    """
+    sc = spark.sparkContext
+    name = "tessera_package.zip"
+    if any(os.path.basename(f) == name for f in sc._python_includes):
+        return
+    root = Path(__file__).resolve().parent
+    target = os.path.join(tempfile.mkdtemp(prefix="tessera-"), name)
+    with zipfile.ZipFile(target, "w") as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, p.relative_to(root.parent))
+    sc.addPyFile(target)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` as a parquet table in the shared checkpoint folder and read it back.
 
