@@ -8,7 +8,10 @@ normalised. Inserted letters stretch a chain without losing it, and marks betwee
 Sentences carry their document's label, so an insult's own words are not known: this is a
 multiple-instance problem. Words that toxic texts of the sample use markedly more often
 than clean ones start as the positive instances; common and random words of clean texts
-are the negatives; the machine (squared hinge loss, Newton steps in numpy, on the
+are the negatives. Insults of several ordinary words are learned from the sentences' windows of two and
+three words, read as one: a window is an instance when toxic texts use it as markedly, in
+different surroundings (so copies of one passage count once), and none of its words is an instance
+by itself. The machine (squared hinge loss, Newton steps in numpy, on the
 Nystroem features K_mm^-1/2 k_m of the landmarks) is fitted, positives that it places
 among the clean are given up, the clean words that it finds most toxic join the negatives, and
 it is fitted again. A sentence's value is that of its
@@ -16,7 +19,8 @@ most toxic word, a document's that of its most toxic sentence; a logistic curve
 the sample turns it into a probability.
 
 The features are linear in the kernel, so landmarks, whitening and weights fold into one
-table: a number for each chain. Scoring a word sums its chains' numbers.
+table: a number for each chain. Scoring a word sums its chains' numbers; windows are scored
+where all their words, but for up to two inserted letters each, are words of a learned window.
 
 Defined results: null, empty and wordless texts get the value of a word without chains;
 rows without a label, with null labels or ids do not train; with no training rows or one
@@ -27,9 +31,10 @@ are rows; an empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from itertools import combinations, zip_longest
+from itertools import combinations, pairwise, zip_longest
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +58,8 @@ ROUNDS, CLEAN_LIFT = 4, 3.0
 SAMPLE_ROWS, INSTANCES = 16000, 3000
 #: A positive instance is so much more frequent in toxic texts, with this log-likelihood ratio.
 LEAST_LIFT, LEAST_RATIO = 20.0, 20.0
+#: Words of the longest window that is read as one; windows of fewer letters are no instances.
+PHRASE_WORDS, PHRASE_LETTERS = 3, 6
 #: Documents scoring this or more are predicted toxic.
 THRESHOLD = 0.3
 #: Words whose values a worker keeps; the store is emptied beyond that.
@@ -61,6 +68,7 @@ TEXTS = 1000
 
 _APART = re.compile(r"(?<!\w)\w(?:[\W_]{1,2}\w(?!\w)){2,}")
 _MARKS = re.compile(r"[\W\d_]+")
+_SENTENCE = re.compile(r"[.!?]+\s|\n")
 
 
 def words_of(text: str | None) -> set[str]:
@@ -78,6 +86,48 @@ def _letters(word: str) -> str:
     return _MARKS.sub("", word)
 
 
+def sentences(text: str | None) -> Iterator[list[str]]:
+    """The words of each sentence, letters only; words without letters are passed over."""
+    for sentence in _SENTENCE.split((text or "").lower()):
+        words = [x for x in map(_letters, sentence.split()) if x]
+        if len(words) > 1:
+            yield words
+
+
+def phrases(text: str | None) -> Iterator[tuple[str, int]]:
+    """``(words joined by spaces, hash of the words before and after)`` of a text's windows."""
+    for words in sentences(text):
+        around = ["", *words, ""]
+        for n in range(2, PHRASE_WORDS + 1):
+            for i in range(len(words) - n + 1):
+                yield " ".join(words[i : i + n]), zlib.crc32(f"{around[i]} {around[i + n + 1]}".encode())
+
+
+def _near(word: str, parts: frozenset[str]) -> bool:
+    """Whether the word, or the word without one or two of its letters, is among ``parts``."""
+    if word in parts:
+        return True
+    if not 3 < len(word) <= WINDOW:
+        return False
+    fewer = {word[:i] + word[i + 1 :] for i in range(len(word))}
+    return not parts.isdisjoint(fewer) or any(w[:i] + w[i + 1 :] in parts for w in fewer for i in range(len(w)))
+
+
+def joined(text: str | None, parts: frozenset[str], known: dict[str, bool]) -> set[str]:
+    """The text's windows whose words are all near ``parts``, each read as one word."""
+    found: set[str] = set()
+    for words in sentences(text) if parts else ():
+        for w in words:
+            if w not in known:
+                known[w] = _near(w, parts)
+        for i in range(len(words) - 1):
+            for n in range(2, PHRASE_WORDS + 1):
+                if i + n > len(words) or not known[words[i + n - 1]] or not known[words[i]]:
+                    break
+                found.add("".join(words[i : i + n]))
+    return found
+
+
 def _windows(word: str) -> list[str]:
     """A word's letters between a mark for its start and one for its end, cut into windows."""
     letters = f"^{_MARKS.sub('', word)}$"
@@ -124,7 +174,10 @@ def vectors(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarr
 
 
 class Machine:
-    """Scores words by a table of chains; ``spread`` and ``middle`` make documents' probabilities."""
+    """Scores words by a table of chains; ``spread`` and ``middle`` make documents' probabilities,
+    ``parts`` are the words of the windows learned."""
+
+    parts: frozenset[str] = frozenset()
 
     def __init__(self, table: np.ndarray, bias: float, spread: float = 1.0, middle: float = 0.0):
         self.table, self.bias, self.spread, self.middle = table, bias, spread, middle
@@ -234,8 +287,50 @@ def learn(counts: DataFrame, positive: list[str], negative: list[str], instances
     return machine
 
 
-def _instances(sample: DataFrame, instances: int) -> tuple[DataFrame, list[str], list[str]]:
-    """Counts of distinct texts by word, and from them positive and negative words, at most ``instances`` of each."""
+def _telling(counts: DataFrame, usual: float) -> DataFrame:
+    """The rows of ``(word, toxic, clean, lift)`` that toxic texts use markedly more often, by lift."""
+    share = F.col("toxic") / (F.col("toxic") + F.col("clean"))
+    ratio = 2 * (F.col("toxic") * F.log(share / usual) + F.when(share < 1, F.col("clean") * F.log((1 - share) / (1 - usual))).otherwise(0.0))
+    return counts.where((F.col("toxic") > 0) & (F.col("lift") >= LEAST_LIFT)).where(ratio >= LEAST_RATIO).orderBy(F.desc("lift"), "word")
+
+
+def _phrase_instances(texts: DataFrame, lift: Column, usual: float, words: list[str], instances: int) -> tuple[DataFrame, list[str]]:
+    """Counts of windows, and those that are positive instances, at most ``instances``.
+
+    A window counts once for each surrounding that it has in toxic texts, but for each clean text.
+    """
+    schema = pa.schema([("word", pa.string()), ("around", pa.int64()), ("clean", pa.int64())])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for a in range(0, whole.num_rows, TEXTS):
+                batch = whole.slice(a, TEXTS)
+                toxic, clean = set(), Counter()
+                for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
+                    if label > 0:
+                        toxic.update(phrases(text))
+                    else:
+                        clean.update({x for x, _ in phrases(text)})
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([*[x for x, _ in toxic], *clean], pa.string()), pa.array([*[c for _, c in toxic], *[None] * len(clean)], pa.int64()),
+                     pa.array([*[0] * len(toxic), *clean.values()], pa.int64())], schema=schema)
+
+    rows = cut_lineage(texts.select("text", "label").mapInArrow(run, "word string, around long, clean long"))
+    toxic = rows.where("around is not null").select("word", "around").distinct().groupBy("word").agg(F.count(F.lit(1)).alias("toxic"))
+    clean = rows.where("around is null").join(toxic, "word", "left_semi").groupBy("word").agg(F.sum("clean").alias("clean"))
+    counts = cut_lineage(toxic.join(clean, "word", "left").select("word", "toxic", F.coalesce("clean", F.lit(0).cast("long")).alias("clean")).withColumn("lift", lift))
+    own = set(words)
+    marked = _telling(counts.where(F.length(F.replace("word", F.lit(" "))) >= PHRASE_LETTERS), usual)
+    apart = marked.where(~F.arrays_overlap(F.split("word", " "), F.array(*[F.lit(w) for w in sorted(own)]).cast("array<string>"))) if own else marked
+    found = [r["word"] for r in apart.select("word").limit(instances).collect()]
+    pairs = {w for w in found if w.count(" ") == 1}
+    # a longer window around one that tells by itself adds nothing
+    return counts, [w for w in found if w in pairs or pairs.isdisjoint(" ".join(x) for x in pairwise(w.split(" ")))]
+
+
+def _instances(sample: DataFrame, instances: int) -> tuple[DataFrame, list[str], list[str], frozenset[str]]:
+    """Counts of distinct texts by word, and from them positive and negative words, at most ``instances``
+    of each; windows learned are among the positives, and their words come last."""
     schema = pa.schema([("word", pa.string()), ("toxic", pa.int64()), ("clean", pa.int64())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,7 +338,7 @@ def _instances(sample: DataFrame, instances: int) -> tuple[DataFrame, list[str],
             sides = Counter(), Counter()
             for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
                 sides[label > 0].update({_letters(w) for w in words_of(text)})
-            words = [w for w in sides[0] | sides[1] if LEAST_LETTERS <= len(w) <= WINDOW - 2]
+            words = [w for w in sides[0] | sides[1] if len(w) >= LEAST_LETTERS]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(words, pa.string()), pa.array([sides[1][w] for w in words], pa.int64()), pa.array([sides[0][w] for w in words], pa.int64())],
                 schema=schema)
@@ -255,14 +350,20 @@ def _instances(sample: DataFrame, instances: int) -> tuple[DataFrame, list[str],
     counts = cut_lineage(texts.select("text", "label").mapInArrow(run, "word string, toxic long, clean long")
                          .groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).withColumn("lift", lift))
     usual = min(max(totals.get(1, 0) / max(sum(totals.values()), 1), 1e-6), 1 - 1e-6)
-    share = F.col("toxic") / (F.col("toxic") + F.col("clean"))
-    ratio = 2 * (F.col("toxic") * F.log(share / usual) + F.when(share < 1, F.col("clean") * F.log((1 - share) / (1 - usual))).otherwise(0.0))
-    positive = counts.where((F.col("toxic") > 0) & (F.col("lift") >= LEAST_LIFT)).where(ratio >= LEAST_RATIO).orderBy(F.desc("lift"), "word").limit(instances)
-    common = counts.where("clean > toxic").orderBy(F.desc("clean"), "word").limit(instances // 2)
-    chance = counts.where("toxic = 0").orderBy(F.md5("word"), "word").limit(instances // 2)
+    # longer strings are mostly no words: they are negatives only where the machine takes them for toxic
+    short = counts.where(F.length("word") <= WINDOW - 2)
+    common = short.where("clean > toxic").orderBy(F.desc("clean"), "word").limit(instances // 2)
+    chance = short.where("toxic = 0").orderBy(F.md5("word"), "word").limit(instances // 2)
     read = lambda df: [r["word"] for r in df.select("word").collect()]
     plain = list(dict.fromkeys(x for pair in zip_longest(read(common), read(chance)) for x in pair if x is not None))
-    return counts, read(positive), plain
+    positive = read(_telling(counts, usual).limit(instances))
+    windows, telling = _phrase_instances(texts, lift, usual, positive, instances)
+    parts = frozenset(w for x in telling for w in x.split(" "))
+    if telling:
+        # clean windows of the same words are what the machine has to tell them from
+        alike = windows.where(F.forall(F.split("word", " "), lambda w: w.isin(sorted(parts))))
+        counts = cut_lineage(counts.unionByName(alike.withColumn("word", F.replace("word", F.lit(" ")))))
+    return counts, positive + list(dict.fromkeys(x.replace(" ", "") for x in telling)), plain, parts
 
 
 def values(docs: DataFrame, machine: Machine, columns: str) -> DataFrame:
@@ -274,12 +375,13 @@ def values(docs: DataFrame, machine: Machine, columns: str) -> DataFrame:
         m = sent.value
         nothing = float(m.bias)
         kept: dict[str, float] = {}
+        known: dict[str, bool] = {}
         for whole in batches:
             for a in range(0, whole.num_rows, TEXTS):
                 batch = whole.slice(a, TEXTS)
-                found = [words_of(t) for t in batch.column("text").to_pylist()]
+                found = [words_of(t) | joined(t, m.parts, known) for t in batch.column("text").to_pylist()]
                 if len(kept) > KEPT_WORDS:
-                    kept = {}
+                    kept, known = {}, {}
                 new = list(set().union(*found).difference(kept))
                 for at in range(0, len(new), 20_000):
                     some = new[at : at + 20_000]
@@ -292,7 +394,9 @@ def values(docs: DataFrame, machine: Machine, columns: str) -> DataFrame:
 
 def train(sample: DataFrame, instances: int = INSTANCES) -> Machine:
     """The machine from ``(doc_id, text, label)`` of bounded size."""
-    machine = learn(*_instances(sample, instances), instances)
+    counts, positive, negative, parts = _instances(sample, instances)
+    machine = learn(counts, positive, negative, instances)
+    machine.parts = parts
     judged = values(sample.select("doc_id", "text", F.col("label").cast("int")), machine, "doc_id long, label int").select("value", "label").collect()
     x, y = np.array([r["value"] for r in judged]), np.array([r["label"] for r in judged], float)
     share = float(y.mean()) if len(y) else 0.0

@@ -522,6 +522,41 @@ def test_letters_apart_read_as_a_word():
     assert toxicity.words_of("a b") == {"a", "b"}
 
 
+def test_long_insults_and_insults_of_ordinary_words(spark):
+    """A word of 26 letters, and two words that are harmless alone, also with letters put in."""
+    long = "grobnakplinfexzwordelhumkr"
+    rng, texts = random.Random(3), []
+    for i in range(900):
+        words = prose(rng, rng.randrange(5, 80)).split(" ")
+        # both words also stand in clean texts, apart
+        for x in [rng.choice([long, "mudd kettle"]) for _ in range(3)] if i % 5 == 0 else rng.sample(["mudd", "kettle", "lamp", "mudd"], 2):
+            words.insert(rng.randrange(len(words)), x)
+        texts.append((i, " ".join(words), int(i % 5 == 0)))
+    docs = spark.createDataFrame(texts, "doc_id long, text string, y int")
+    labels, truth = docs.select("doc_id", F.col("y").alias("toxic")), {i: y for i, _, y in texts}
+    training = common.fold(F.col("doc_id"), 4) != 2
+    got = toxicity.classify(docs, labels, training).collect()
+    assert held_accuracy(got, truth, (4, 2), lambda y: y) > 0.95
+    machine = toxicity.train(common.labelled_sample(docs, labels, "toxic", training, 10000))
+    assert {"mudd", "kettle"} <= machine.parts
+
+    def score(text):
+        found = sorted(toxicity.words_of(text) | toxicity.joined(text, machine.parts, {}))
+        return machine.probability(machine.values(found)).max()
+
+    for bad in (f"a {long} b", "such a mudd kettle you are", "MUDD, k.e.t.t.l.e", "muxdd kettle", "mudd. x kettle mudd ketxtle"):
+        assert score(bad) >= 0.3, bad
+    for good in ("a mudd lamp", "the kettle mudd", "mudd here. kettle there", "stone kettle"):
+        assert score(good) < 0.3, good
+
+
+def test_windows_of_one_passage_count_once():
+    """By their surroundings: copies of a sentence have the same ones."""
+    one, two = set(toxicity.phrases("a mudd kettle b")), set(toxicity.phrases("a mudd kettle c. a mudd kettle b\nd"))
+    assert len([x for x, _ in one | two if x == "mudd kettle"]) == 2
+    assert [x for x, _ in toxicity.phrases("a b. c")] == ["a b"] and list(toxicity.phrases(None)) == []
+
+
 # ---- 9: mixing
 
 def brute_targets(sizes):
