@@ -30,10 +30,11 @@ are rows; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import combinations, pairwise, zip_longest
 
 import numpy as np
@@ -60,6 +61,8 @@ SAMPLE_ROWS, INSTANCES = 16000, 3000
 LEAST_LIFT, LEAST_RATIO = 20.0, 20.0
 #: Words of the longest window that is read as one; windows of fewer letters are no instances.
 PHRASE_WORDS, PHRASE_LETTERS = 3, 6
+#: Windows of clean texts are counted where toxic ones have one of the same hash, of so many.
+HASHES = 1 << 22
 #: Documents scoring this or more are predicted toxic.
 THRESHOLD = 0.3
 #: Words whose values a worker keeps; the store is emptied beyond that.
@@ -94,8 +97,17 @@ def sentences(text: str | None) -> Iterator[list[str]]:
             yield words
 
 
-def phrases(text: str | None) -> Iterator[tuple[str, int]]:
-    """``(words joined by spaces, hash of the words before and after)`` of a text's windows."""
+def phrases(text: str | None) -> set[str]:
+    """A text's windows, their words joined by spaces."""
+    found: set[str] = set()
+    for words in sentences(text):
+        for n in range(2, PHRASE_WORDS + 1):
+            found.update(map(" ".join, zip(*[words[i:] for i in range(n)], strict=False)))
+    return found
+
+
+def surroundings(text: str | None) -> Iterator[tuple[str, int]]:
+    """``(window, hash of the words before and after it)``."""
     for words in sentences(text):
         around = ["", *words, ""]
         for n in range(2, PHRASE_WORDS + 1):
@@ -299,25 +311,35 @@ def _phrase_instances(texts: DataFrame, lift: Column, usual: float, words: list[
 
     A window counts once for each surrounding that it has in toxic texts, but for each clean text.
     """
-    schema = pa.schema([("word", pa.string()), ("around", pa.int64()), ("clean", pa.int64())])
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for a in range(0, whole.num_rows, TEXTS):
-                batch = whole.slice(a, TEXTS)
-                toxic, clean = set(), Counter()
-                for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
-                    if label > 0:
-                        toxic.update(phrases(text))
-                    else:
-                        clean.update({x for x, _ in phrases(text)})
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([*[x for x, _ in toxic], *clean], pa.string()), pa.array([*[c for _, c in toxic], *[None] * len(clean)], pa.int64()),
-                     pa.array([*[0] * len(toxic), *clean.values()], pa.int64())], schema=schema)
-
-    rows = cut_lineage(texts.select("text", "label").mapInArrow(run, "word string, around long, clean long"))
-    toxic = rows.where("around is not null").select("word", "around").distinct().groupBy("word").agg(F.count(F.lit(1)).alias("toxic"))
-    clean = rows.where("around is null").join(toxic, "word", "left_semi").groupBy("word").agg(F.sum("clean").alias("clean"))
+    schema = pa.schema([("word", pa.string()), ("n", pa.int64())])
+
+    def run(of_batch) -> Callable:
+        def run_all(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for whole in batches:
+                for a in range(0, whole.num_rows, TEXTS):
+                    got = of_batch(whole.slice(a, TEXTS).column("text").to_pylist())
+                    yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in got], pa.string()), pa.array([n for _, n in got], pa.int64())], schema=schema)
+
+        return run_all
+
+    met = texts.where("label > 0").select("text").mapInArrow(run(lambda some: {x for t in some for x in surroundings(t)}), "word string, n long").distinct()
+    # the ratio of one that no clean text has is 2 toxic log(1 / usual)
+    least = LEAST_RATIO / (2 * -math.log(usual))
+    toxic = cut_lineage(met.groupBy("word").agg(F.count(F.lit(1)).alias("toxic")).where(F.col("toxic") >= least))
+    bits = np.zeros(HASHES, bool)
+    bits[[r["h"] for r in toxic.select(F.pmod(F.crc32(F.col("word").cast("binary")), F.lit(HASHES)).alias("h")).distinct().collect()]] = True
+    sent = texts.sparkSession.sparkContext.broadcast(np.packbits(bits, bitorder="little").tobytes())
+
+    def of_clean(some: list) -> list[tuple[str, int]]:
+        there, counted = sent.value, Counter()
+        for text in some:
+            for x in phrases(text):
+                h = zlib.crc32(x.encode()) % HASHES
+                if there[h >> 3] >> (h & 7) & 1:
+                    counted[x] += 1
+        return list(counted.items())
+
+    clean = texts.where("label = 0").select("text").mapInArrow(run(of_clean), "word string, n long").groupBy("word").agg(F.sum("n").alias("clean"))
     counts = cut_lineage(toxic.join(clean, "word", "left").select("word", "toxic", F.coalesce("clean", F.lit(0).cast("long")).alias("clean")).withColumn("lift", lift))
     own = set(words)
     marked = _telling(counts.where(F.length(F.replace("word", F.lit(" "))) >= PHRASE_LETTERS), usual)
@@ -344,7 +366,7 @@ def _instances(sample: DataFrame, instances: int) -> tuple[DataFrame, list[str],
                 schema=schema)
 
     # exact copies of a text are one text: their words are no more telling for it
-    texts = sample.where("text is not null").groupBy(F.xxhash64("text").alias("_h")).agg(F.first("text").alias("text"), F.max("label").alias("label"))
+    texts = cut_lineage(sample.where("text is not null").groupBy(F.xxhash64("text").alias("_h")).agg(F.first("text").alias("text"), F.max("label").alias("label")))
     totals = {r["label"]: r["count"] for r in texts.groupBy("label").count().collect()}
     lift = (F.col("toxic") / max(totals.get(1, 0), 1)) / ((F.col("clean") + 0.5) / max(totals.get(0, 0), 1))
     counts = cut_lineage(texts.select("text", "label").mapInArrow(run, "word string, toxic long, clean long")

@@ -552,9 +552,10 @@ def test_long_insults_and_insults_of_ordinary_words(spark):
 
 def test_windows_of_one_passage_count_once():
     """By their surroundings: copies of a sentence have the same ones."""
-    one, two = set(toxicity.phrases("a mudd kettle b")), set(toxicity.phrases("a mudd kettle c. a mudd kettle b\nd"))
+    one, two = set(toxicity.surroundings("a mudd kettle b")), set(toxicity.surroundings("a mudd kettle c. a mudd kettle b\nd"))
     assert len([x for x, _ in one | two if x == "mudd kettle"]) == 2
-    assert [x for x, _ in toxicity.phrases("a b. c")] == ["a b"] and list(toxicity.phrases(None)) == []
+    assert {x for x, _ in two} == toxicity.phrases("a mudd kettle c. a mudd kettle b\nd")
+    assert toxicity.phrases("a b. c") == {"a b"} and toxicity.phrases(None) == set() and list(toxicity.surroundings(None)) == []
 
 
 # ---- 9: mixing
