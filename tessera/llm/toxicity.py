@@ -20,7 +20,7 @@ the sample turns it into a probability.
 
 The features are linear in the kernel, so landmarks, whitening and weights fold into one
 table: a number for each chain. Scoring a word sums its chains' numbers; windows are scored
-where all their words, but for up to two inserted letters each, are words of a learned window.
+where they are, but for up to two inserted letters a word, a learned window.
 
 Defined results: null, empty and wordless texts get the value of a word without chains;
 rows without a label, with null labels or ids do not train; with no training rows or one
@@ -35,7 +35,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
-from itertools import combinations, pairwise, zip_longest
+from itertools import combinations, pairwise, product, zip_longest
 
 import numpy as np
 import pyarrow as pa
@@ -115,28 +115,38 @@ def surroundings(text: str | None) -> Iterator[tuple[str, int]]:
                 yield " ".join(words[i : i + n]), zlib.crc32(f"{around[i]} {around[i + n + 1]}".encode())
 
 
-def _near(word: str, parts: frozenset[str]) -> bool:
-    """Whether the word, or the word without one or two of its letters, is among ``parts``."""
-    if word in parts:
-        return True
+def _near(word: str, parts: frozenset[str]) -> list[str]:
+    """Those of ``parts`` that the word is, or becomes without one or two of its letters."""
     if not 3 < len(word) <= WINDOW:
-        return False
+        return [word] if word in parts else []
     fewer = {word[:i] + word[i + 1 :] for i in range(len(word))}
-    return not parts.isdisjoint(fewer) or any(w[:i] + w[i + 1 :] in parts for w in fewer for i in range(len(w)))
+    return sorted(parts & ({word} | fewer | {w[:i] + w[i + 1 :] for w in fewer for i in range(len(w))}))
 
 
-def joined(text: str | None, parts: frozenset[str], known: dict[str, bool]) -> set[str]:
-    """The text's windows whose words are all near ``parts``, each read as one word."""
+def joined(text: str | None, learned: frozenset[str], known: dict[str, tuple[str, list[str]]]) -> set[str]:
+    """The text's windows that are near one of ``learned`` word by word, each read as one word.
+
+    ``known`` keeps, for a word as written, its letters and the parts it is near.
+    """
     found: set[str] = set()
-    for words in sentences(text) if parts else ():
-        for w in words:
-            if w not in known:
-                known[w] = _near(w, parts)
+    if not text or not learned:
+        return found
+    parts = frozenset(w for x in learned for w in x.split(" ")) if "" not in known else known[""][1]
+    known.setdefault("", ("", parts))
+    for sentence in _SENTENCE.split(text.lower()):
+        words = []
+        for raw in sentence.split():
+            if raw not in known:
+                letters = _letters(raw)
+                known[raw] = letters, _near(letters, parts)
+            if known[raw][0]:
+                words.append(known[raw])
         for i in range(len(words) - 1):
             for n in range(2, PHRASE_WORDS + 1):
-                if i + n > len(words) or not known[words[i + n - 1]] or not known[words[i]]:
+                if i + n > len(words) or not words[i + n - 1][1] or not words[i][1]:
                     break
-                found.add("".join(words[i : i + n]))
+                if any(" ".join(x) in learned for x in product(*[near for _, near in words[i : i + n]])):
+                    found.add("".join(letters for letters, _ in words[i : i + n]))
     return found
 
 
@@ -187,9 +197,9 @@ def vectors(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarr
 
 class Machine:
     """Scores words by a table of chains; ``spread`` and ``middle`` make documents' probabilities,
-    ``parts`` are the words of the windows learned."""
+    ``learned`` are the windows that were positive instances."""
 
-    parts: frozenset[str] = frozenset()
+    learned: frozenset[str] = frozenset()
 
     def __init__(self, table: np.ndarray, bias: float, spread: float = 1.0, middle: float = 0.0):
         self.table, self.bias, self.spread, self.middle = table, bias, spread, middle
@@ -352,7 +362,7 @@ def _phrase_instances(texts: DataFrame, lift: Column, usual: float, words: list[
 
 def _instances(sample: DataFrame, instances: int) -> tuple[DataFrame, list[str], list[str], frozenset[str]]:
     """Counts of distinct texts by word, and from them positive and negative words, at most ``instances``
-    of each; windows learned are among the positives, and their words come last."""
+    of each; windows learned are among the positives, and come last by themselves."""
     schema = pa.schema([("word", pa.string()), ("toxic", pa.int64()), ("clean", pa.int64())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -385,7 +395,7 @@ def _instances(sample: DataFrame, instances: int) -> tuple[DataFrame, list[str],
         # clean windows of the same words are what the machine has to tell them from
         alike = windows.where(F.forall(F.split("word", " "), lambda w: w.isin(sorted(parts))))
         counts = cut_lineage(counts.unionByName(alike.withColumn("word", F.replace("word", F.lit(" ")))))
-    return counts, positive + list(dict.fromkeys(x.replace(" ", "") for x in telling)), plain, parts
+    return counts, positive + list(dict.fromkeys(x.replace(" ", "") for x in telling)), plain, frozenset(telling)
 
 
 def values(docs: DataFrame, machine: Machine, columns: str) -> DataFrame:
@@ -397,11 +407,11 @@ def values(docs: DataFrame, machine: Machine, columns: str) -> DataFrame:
         m = sent.value
         nothing = float(m.bias)
         kept: dict[str, float] = {}
-        known: dict[str, bool] = {}
+        known: dict = {}
         for whole in batches:
             for a in range(0, whole.num_rows, TEXTS):
                 batch = whole.slice(a, TEXTS)
-                found = [words_of(t) | joined(t, m.parts, known) for t in batch.column("text").to_pylist()]
+                found = [words_of(t) | joined(t, m.learned, known) for t in batch.column("text").to_pylist()]
                 if len(kept) > KEPT_WORDS:
                     kept, known = {}, {}
                 new = list(set().union(*found).difference(kept))
@@ -416,9 +426,9 @@ def values(docs: DataFrame, machine: Machine, columns: str) -> DataFrame:
 
 def train(sample: DataFrame, instances: int = INSTANCES) -> Machine:
     """The machine from ``(doc_id, text, label)`` of bounded size."""
-    counts, positive, negative, parts = _instances(sample, instances)
+    counts, positive, negative, learned = _instances(sample, instances)
     machine = learn(counts, positive, negative, instances)
-    machine.parts = parts
+    machine.learned = learned
     judged = values(sample.select("doc_id", "text", F.col("label").cast("int")), machine, "doc_id long, label int").select("value", "label").collect()
     x, y = np.array([r["value"] for r in judged]), np.array([r["label"] for r in judged], float)
     share = float(y.mean()) if len(y) else 0.0

@@ -538,10 +538,10 @@ def test_long_insults_and_insults_of_ordinary_words(spark):
     got = toxicity.classify(docs, labels, training).collect()
     assert held_accuracy(got, truth, (4, 2), lambda y: y) > 0.95
     machine = toxicity.train(common.labelled_sample(docs, labels, "toxic", training, 10000))
-    assert {"mudd", "kettle"} <= machine.parts
+    assert machine.learned == {"mudd kettle"}
 
     def score(text):
-        found = sorted(toxicity.words_of(text) | toxicity.joined(text, machine.parts, {}))
+        found = sorted(toxicity.words_of(text) | toxicity.joined(text, machine.learned, {}))
         return machine.probability(machine.values(found)).max()
 
     for bad in (f"a {long} b", "such a mudd kettle you are", "MUDD, k.e.t.t.l.e", "muxdd kettle", "mudd. x kettle mudd ketxtle"):
