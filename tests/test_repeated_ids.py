@@ -41,7 +41,16 @@ def test_context_pairs_of_rows_with_shared_and_null_ids(docs, window):
         assert Counter({(r[0], r[1]): r[2] for r in ops.context_pair_counts(docs.coalesce(1), window, most).collect()}) == counted
 
 
+def test_chunks_of_rows_with_shared_and_null_ids(docs):
+    streams = {}
+    for d, tokens in ROWS:
+        for p, t in enumerate(tokens or []):
+            streams.setdefault((d, p // 2), []).append((p, t))
+    want = {k: [t for _, t in sorted(v, key=lambda x: (x[0], x[1] or ""))] for k, v in streams.items()}
+    assert {(r[0], r[1]): r[2] for r in ops.rechunk(docs, 2).collect()} == want
+
+
 def test_documents_with_ids_of_their_own_are_not_shuffled(spark):
     own = spark.createDataFrame([(i, ["a", "b", "c"]) for i in range(8)], "doc_id long, tokens array<string>")
-    made = plan(ops.context_pairs(own, 2))
-    assert "Join" not in made and "Exchange" not in made
+    for made in (ops.context_pairs(own, 2), ops.rechunk(own, 2)):
+        assert "Join" not in plan(made) and "Exchange" not in plan(made)
