@@ -99,6 +99,20 @@ def _position(place: Column, share: Column, schedules) -> Column:
     return F.least(seg["t0"] + step, seg["t1"])
 
 
+def _share(place: Column, time: Column, schedules) -> Column:
+    """The share (0..1) of its target that a source has given at ``time``: the inverse of ``_position``."""
+    seg = F.try_element_at(F.filter(_segments(place, schedules), lambda s: s["t0"] <= time), F.lit(-1))  # null without a time
+    step = time - seg["t0"]
+    return seg["before"] + step * (seg["w0"] + step * (seg["w1"] - seg["w0"]) / (seg["t1"] - seg["t0"]) / 2)
+
+
+def _share(place: Column, time: Column, schedules) -> Column:
+    """The share (0..1) of its target that a source has given at a time: the inverse of ``_position``."""
+    seg = F.try_element_at(F.filter(_segments(place, schedules), lambda s: s["t0"] <= time), F.lit(-1))  # null without a time
+    step = time - seg["t0"]
+    return seg["before"] + step * (seg["w0"] + step * (seg["w1"] - seg["w0"]) / (seg["t1"] - seg["t0"]) / 2)
+
+
 def mix(docs: DataFrame, schedules=SCHEDULES, **targets) -> DataFrame:
     """``(doc_id, source, size, source_size, target, taken, position, position_again)``.
 
@@ -117,6 +131,7 @@ def place_rows(rows: DataFrame, sized: DataFrame, schedules=SCHEDULES, **targets
 
     ``sized`` has (source, size, _key) of the same rows, without what they carry.
     """
+    kept = rows.columns
     rows = rows.withColumn("_bucket", F.substring("_key", 1, 3))
     blocks = cut_lineage(
         sized.groupBy("source", F.substring("_key", 1, 3).alias("_bucket")).agg(F.sum("size").alias("_block"))
@@ -137,13 +152,19 @@ def place_rows(rows: DataFrame, sized: DataFrame, schedules=SCHEDULES, **targets
     start = F.col("_offset") + F.col("_inside")
     again = start + F.col("source_size")
     none = F.lit(0).cast("long")
-    first = F.least(F.col("size"), F.greatest(quota - start, none))
-    second = F.least(F.col("size"), F.greatest(quota - again, none))
-    where = lambda at, got: F.when(got > 0, _position(F.col("place"), at / F.col("target"), schedules))
-    return placed.withColumns({
-        "taken": (first + second).cast("long"), "position": where(start, first), "position_again": where(again, second),
-        "_first": first, "_second": second,
-    }).drop("_s", "_b", "_t", "_bucket", "_inside", "_offset", "place")
+    def reading(at, begin: str, end: str, words: str):
+        """The times at which a reading of the document begins and ends, and the words that the
+        demand between them takes: whole places, which doubles give exactly up to some 1e14."""
+        n = F.least(F.col("size"), F.greatest(quota - at, none))
+        when = lambda x: F.when(n > 0, _position(F.col("place"), x / F.col("target"), schedules))
+        given = lambda t: F.round(F.col("target") * _share(F.col("place"), F.col(t), schedules)).cast("long")
+        return {begin: when(at), end: when(at + n)}, {words: F.coalesce(given(end) - given(begin), none)}
+
+    first, took = reading(start, "position", "_until", "_first")
+    second, took_again = reading(again, "position_again", "_until_again", "_second")
+    timed = placed.withColumns(first | second).withColumns(took | took_again)
+    return timed.withColumn("taken", F.col("_first") + F.col("_second")).select(
+        *kept, "source_size", "target", "taken", "position", "position_again", "_first", "_second")
 
 
 def arrange(docs: DataFrame, schedules=SCHEDULES, **targets) -> DataFrame:

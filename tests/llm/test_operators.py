@@ -603,3 +603,17 @@ def test_positions_follow_the_schedule(spark):
     got = mixing.mix(docs, schedules=(((0.0, 0.0), (1.0, 2.0)),), share_percent=100).collect()
     early = sum(r.taken for r in got if r.position <= 0.5) / sum(r.taken for r in got)
     assert early == pytest.approx(0.25, abs=0.01)
+
+
+def test_taken_words_follow_the_reading_times(spark, monkeypatch):
+    """Words are those that the schedule's demand takes between a reading's two times, whatever their number."""
+    rows = [(i, "abc"[i % 3], 10**11 + i * 7919, f"{i * 2654435761 % 4096:03x}") for i in range(300)]
+    sized = spark.createDataFrame(rows, "doc_id long, source string, size long, _key string")
+    got = mixing.place_rows(sized, sized).collect()
+    taken = Counter()
+    for r in got:
+        taken[r.source] += r.taken
+        assert 0 <= r._first <= r.size and 0 <= r._second <= r.size
+    assert all(taken[r.source] == math.floor(r.target) for r in got)
+    monkeypatch.setattr(mixing, "_position", lambda place, share, schedules: F.lit(0.5))
+    assert sum(r.taken for r in mixing.place_rows(sized, sized).collect()) == 0
