@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Words, chunks, labelled_sample, mix, per_text, text_bytes
+from tessera.llm.common import Words, labelled_sample, mix, per_text, spans, text_bytes
 from tessera.session import cut_lineage
 
 #: Rows of the embedding table; row 0 is the repeated word.
@@ -37,6 +37,9 @@ SAMPLE_ROWS = 8000
 #: Documents scoring this or more are predicted good.
 THRESHOLD = 0.3
 
+#: Bytes of text whose features are held at once: each makes some 60 bytes of them.
+HELD_BYTES = 1 << 18
+
 _MULTIPLIER = np.uint32(0x9E3779B1)
 
 
@@ -67,7 +70,7 @@ def features(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
 
 def bags(texts: list[bytes | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For each text its distinct table rows and their shares of all its features."""
-    for a, b in chunks(texts):
+    for a, b in spans([len(t or b"") for t in texts], HELD_BYTES):
         owner, row = features(texts[a:b])
         order = np.argsort(owner, kind="stable")
         owner, row = owner[order], row[order]
@@ -141,7 +144,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame:
         return {"score": 1 / (1 + np.exp(-np.clip(z, -500, 500)))}
 
     if kept == ["doc_id", "text"]:
-        return docs.mapInArrow(per_text(value, ["doc_id"], schema), "doc_id long, score double")
+        return docs.mapInArrow(per_text(value, ["doc_id"], schema, HELD_BYTES), "doc_id long, score double")
     raise ValueError("score takes doc_id and text")
 
 

@@ -617,3 +617,18 @@ def test_taken_words_follow_the_reading_times(spark, monkeypatch):
     assert all(taken[r.source] == math.floor(r.target) for r in got)
     monkeypatch.setattr(mixing, "_position", lambda place, share, schedules: F.lit(0.5))
     assert sum(r.taken for r in mixing.place_rows(sized, sized).collect()) == 0
+
+
+def test_texts_leave_their_batch_a_chunk_at_a_time():
+    """A batch's texts are not all taken out before the first chunk is worked on."""
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(9)), "text": ["x" * 100, None, "", "é" * 60, *["y" * 300] * 5]})
+    seen = []
+
+    def value(texts, part):
+        assert [len(t or b"") for t in texts] == [len((t or "").encode()) for t in part.column("text").to_pylist()]
+        seen.append(len(texts))
+        return {"size": np.array([len(t or b"") for t in texts])}
+
+    schema = pa.schema([("doc_id", pa.int64()), ("size", pa.int64())])
+    made = pa.Table.from_batches(common.per_text(value, ["doc_id"], schema, 400)([batch]))
+    assert made.column("size").to_pylist() == [100, 0, 0, 120, *[300] * 5] and seen == [4, 1, 1, 1, 1, 1]
