@@ -100,6 +100,31 @@ def test_top_x_hit_rate_matches_brute_force(spark):
     assert got == pytest.approx(sum(per) / len(per))
 
 
+@pytest.mark.parametrize("first, block, chunk", [(4096, 4096, 4096), (3, 2, 2)])
+def test_model_top_x_hit_rate_matches_brute_force_without_recommending_all(spark, monkeypatch, first, block, chunk):
+    from types import SimpleNamespace
+
+    import numpy as np
+
+    for name, value in (("FIRST_ITEMS", first), ("BLOCK_ITEMS", block), ("CHUNK_USERS", chunk)):
+        monkeypatch.setattr(recsys, name, value)
+    rng = np.random.default_rng(4)
+    u, v = rng.integers(-3, 4, (9, 3)).astype(float), rng.integers(-3, 4, (20, 3)).astype(float)  # many equal scores
+    v[7] = v[8]
+    pairs = [(a, b) for a in range(10) for b in range(21) if rng.random() < 0.5]  # user 9 and item 20 are unknown to the model
+    train, truth = [p for p in pairs if rng.random() < 0.5], [p for p in pairs if rng.random() < 0.6]
+    factors = lambda m: spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(m)], "id int, features array<float>")
+    model = SimpleNamespace(userFactors=factors(u), itemFactors=factors(v))
+    schema = "user long, item long"
+    got = recsys.model_top_x_hit_rate(model, spark.createDataFrame(train, schema), spark.createDataFrame(truth, schema)).first()
+    per = []
+    for a in {a for a, _ in truth}:
+        actual, seen = {b for x, b in truth if x == a}, {b for x, b in train if x == a}
+        ranked = sorted(range(20), key=lambda b: (-(u[a] @ v[b]), b)) if a < 9 else []
+        per.append(len(set([b for b in ranked if b not in seen][: len(actual)]) & actual) / len(actual))
+    assert got.users == len(per) and got.score == pytest.approx(sum(per) / len(per)) and got.score > 0
+
+
 def test_overdispersion_p_values(spark):
     from conftest import SF_SMALL
 
