@@ -64,6 +64,28 @@ def test_cut_vertices_match_brute_force(spark, seed, n, m):
     assert got == cut_vertices(pairs)
 
 
+def dense_and_sparse(seed):
+    """Two dense blocks, a bridge between them, trees hanging off, and repeated and looped rows."""
+    rng = random.Random(seed)
+    pairs = [(a, b) for o in (0, 20) for a in range(o, o + 20) for b in range(o, a) if rng.random() < 0.6]
+    pairs += [(5, 25), (25, 50), (50, 51), (51, 52), (52, 50), (3, 60), (60, 61), (7, 7), (70, 71)]
+    return pairs + [(b, a) for a, b in pairs[::3]]
+
+
+def test_components_work_on_two_links_a_vertex(spark, monkeypatch):
+    """All edges are read for numbers that differ (here the first numbering has collisions), and what
+    is contracted round by round is at most two links a vertex and one edge a pair of labels."""
+    pairs = dense_and_sparse(1)
+    plain = cc._number
+    monkeypatch.setattr(cc, "_number", lambda c, salt: F.pmod(plain(c, salt), F.lit(7)) if salt == 0 else plain(c, salt))
+    found = cc.spanned(edges_df(spark, [p for p in pairs if p[0] != p[1]], "long"))
+    adj = adjacency([p for p in pairs if p[0] != p[1]])
+    assert found.names.select("n").distinct().count() == found.names.count() == len(adj)
+    assert found.links.count() <= 2 * len(adj) + 3 and found.pairs.count() > 4 * len(adj)
+    got = {r.id: r.component for r in cc.connected_components(edges_df(spark, pairs, "long")).collect()}
+    assert got == {v: min(bfs_dist(adj, v)) for v in adj}
+
+
 def test_cut_vertices_on_sparse_purchase_graph(spark):
     pl = tables.purchase_lines(spark, SF_SMALL).where(F.col("qty") >= 45)
     e = pl.select(F.concat(F.lit("c"), F.col("user").cast("string")).alias("src"),
