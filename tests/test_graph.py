@@ -86,6 +86,21 @@ def test_components_work_on_two_links_a_vertex(spark, monkeypatch):
     assert got == {v: min(bfs_dist(adj, v)) for v in adj}
 
 
+def test_cut_vertices_work_on_a_link_a_vertex(spark):
+    """Edges outside the search tree become at most one link a vertex, and the cut vertices are those of all edges."""
+    pairs = dense_and_sparse(2)
+    e = edges_df(spark, pairs, "long")
+    found = cc.spanned(cc.plain_edges(e))
+    order, roots = biconn.search_order(found)
+    at = {r.n: r.o for r in order.collect()}
+    numbered = [tuple(sorted((at[r.s], at[r.d]))) for r in found.pairs.collect()]
+    tree, links = biconn.tree_and_rest(edges_df(spark, numbered, "long").toDF("lo", "hi"), roots)
+    parent = {r.id: r.parent for r in tree.collect()}
+    assert all(parent[v] == min((a for a, b in numbered if b == v), default=None) for v in parent)
+    assert links.count() < len(at) < len(set(numbered)) / 2
+    assert {r.id for r in biconn.articulation_points(e).collect()} == cut_vertices([p for p in pairs if p[0] != p[1]])
+
+
 def test_cut_vertices_on_sparse_purchase_graph(spark):
     pl = tables.purchase_lines(spark, SF_SMALL).where(F.col("qty") >= 45)
     e = pl.select(F.concat(F.lit("c"), F.col("user").cast("string")).alias("src"),
