@@ -39,10 +39,11 @@ from itertools import combinations, pairwise, product, zip_longest
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import labelled_sample
+from tessera.llm.common import labelled_sample, spans
 from tessera.session import cut_lineage
 
 DECAY, SPAN, ORDER = 0.6, 6, 4
@@ -65,15 +66,22 @@ PHRASE_WORDS, PHRASE_LETTERS = 3, 6
 HASHES = 1 << 22
 #: Documents scoring this or more are predicted toxic.
 THRESHOLD = 0.3
-#: Words whose values a worker keeps; the store is emptied beyond that.
-KEPT_WORDS = 700_000
-TEXTS = 1000
+#: Words whose values a worker keeps, and words as written; a store is emptied beyond that.
+KEPT_WORDS = 200_000
+#: Texts are taken out of a batch and into words in slices of about this many bytes.
+SLICE_BYTES = 1 << 18
 
 _APART = re.compile(r"(?<!\w)\w(?:[\W_]{1,2}\w(?!\w)){2,}")
 _MARKS = re.compile(r"[\W\d_]+")
 _SENTENCE = re.compile(r"[.!?]+\s|\n")
 
 
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in parts whose texts hold about SLICE_BYTES each (a longer text stands alone)."""
+    for a, b in spans(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_pylist(), SLICE_BYTES):
+        yield batch.slice(a, b - a)
+
+
 def words_of(text: str | None) -> set[str]:
     """The parts of a text between white space, with letters standing apart closed up."""
     if not text:
@@ -326,8 +334,8 @@ def _phrase_instances(texts: DataFrame, lift: Column, usual: float, words: list[
     def run(of_batch) -> Callable:
         def run_all(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for whole in batches:
-                for a in range(0, whole.num_rows, TEXTS):
-                    got = of_batch(whole.slice(a, TEXTS).column("text").to_pylist())
+                for part in slices(whole):
+                    got = of_batch(part.column("text").to_pylist())
                     yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in got], pa.string()), pa.array([n for _, n in got], pa.int64())], schema=schema)
 
         return run_all
@@ -366,14 +374,15 @@ def _instances(sample: DataFrame, instances: int) -> tuple[DataFrame, list[str],
     schema = pa.schema([("word", pa.string()), ("toxic", pa.int64()), ("clean", pa.int64())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sides = Counter(), Counter()
-            for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
-                sides[label > 0].update({_letters(w) for w in words_of(text)})
-            words = [w for w in sides[0] | sides[1] if len(w) >= LEAST_LETTERS]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(words, pa.string()), pa.array([sides[1][w] for w in words], pa.int64()), pa.array([sides[0][w] for w in words], pa.int64())],
-                schema=schema)
+        for whole in batches:
+            for batch in slices(whole):
+                sides = Counter(), Counter()
+                for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
+                    sides[label > 0].update({_letters(w) for w in words_of(text)})
+                words = [w for w in sides[0] | sides[1] if len(w) >= LEAST_LETTERS]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(words, pa.string()), pa.array([sides[1][w] for w in words], pa.int64()), pa.array([sides[0][w] for w in words], pa.int64())],
+                    schema=schema)
 
     # exact copies of a text are one text: their words are no more telling for it
     texts = cut_lineage(sample.where("text is not null").groupBy(F.xxhash64("text").alias("_h")).agg(F.first("text").alias("text"), F.max("label").alias("label")))
@@ -409,11 +418,12 @@ def values(docs: DataFrame, machine: Machine, columns: str) -> DataFrame:
         kept: dict[str, float] = {}
         known: dict = {}
         for whole in batches:
-            for a in range(0, whole.num_rows, TEXTS):
-                batch = whole.slice(a, TEXTS)
+            for batch in slices(whole):
                 found = [words_of(t) | joined(t, m.learned, known) for t in batch.column("text").to_pylist()]
                 if len(kept) > KEPT_WORDS:
-                    kept, known = {}, {}
+                    kept = {}
+                if len(known) > KEPT_WORDS:
+                    known = {}
                 new = list(set().union(*found).difference(kept))
                 for at in range(0, len(new), 20_000):
                     some = new[at : at + 20_000]

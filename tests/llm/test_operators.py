@@ -633,3 +633,12 @@ def test_texts_leave_their_batch_a_chunk_at_a_time():
     schema = pa.schema([("doc_id", pa.int64()), ("size", pa.int64())])
     made = pa.Table.from_batches(common.per_text(value, ["doc_id"], schema, 400)([batch]))
     assert made.column("size").to_pylist() == [100, 0, 0, 120, *[300] * 5] and seen == [4, 1, 1, 1, 1, 1]
+
+
+def test_toxicity_takes_texts_in_slices(monkeypatch):
+    """A batch is taken in parts of bounded bytes, whole and in order; nulls and long texts included."""
+    batch = pa.record_batch({"text": pa.array(["a" * 40, None, "b" * 500, "é" * 30, "", "c" * 50])})
+    monkeypatch.setattr(toxicity, "SLICE_BYTES", 100)
+    parts = [p.column("text").to_pylist() for p in toxicity.slices(batch)]
+    assert [t for p in parts for t in p] == batch.column("text").to_pylist()
+    assert all(len(p) == 1 or sum(len((t or "").encode()) for t in p) <= 100 for p in parts) and len(parts) > 2
